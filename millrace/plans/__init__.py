@@ -1,3 +1,3 @@
-from . import ordered, reports, scoring, similarity, tuning, verbs
+from . import ordered, recommend, reports, scoring, similarity, tuning, verbs
 
-__all__ = ["ordered", "reports", "scoring", "similarity", "tuning", "verbs"]
+__all__ = ["ordered", "recommend", "reports", "scoring", "similarity", "tuning", "verbs"]
