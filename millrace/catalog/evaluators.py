@@ -13,20 +13,17 @@ from ..sources import table
 from .inputs import JUDGED_SQL, TYPE_RANKS_SQL, embedded, judged, type_ranks
 from .registry import query, round_all
 
-NO_LABEL = F.lit(None).cast("double")
-
-
-def _each(make, metrics, df, label=NO_LABEL, **params):
+def _each(make, metrics, df, label=None, **params):
     """One row per metric, each from its own evaluator run over the cached frame."""
     df = df.persist()
     try:
-        frames = [
-            evaluate(make(metric_name=m, **params), df).select("metric", label.alias("label"), "value")
-            for m in metrics
-        ]
-        return round_all(reduce(DataFrame.unionByName, frames), ["value"])
+        frames = [evaluate(make(metric_name=m, **params), df) for m in metrics]
     finally:
         df.unpersist()
+    rows = reduce(DataFrame.unionByName, frames)
+    return round_all(
+        rows.select("metric", F.lit(label).cast("double").alias("label"), "value"), ["value"]
+    )
 
 
 BINARY_SQL = f"""
@@ -88,7 +85,7 @@ def multiclass_classification_evaluator(spark, sf):
     rules = {"weight_col": "weight", "beta": 2.0, "metric_label": 1.0}
     make = evaluation.multiclass_classification_evaluator
     whole = _each(make, list(OVERALL), df, **rules)
-    return whole.unionByName(_each(make, list(BY_LABEL), df, F.lit(1.0), **rules))
+    return whole.unionByName(_each(make, list(BY_LABEL), df, 1.0, **rules))
 
 
 @query(MULTICLASS_SQL + WHOLE_SQL + " UNION ALL " + _union(
@@ -159,7 +156,7 @@ def multilabel_classification_evaluator(spark, sf):
     df = _label_sets(spark, sf)
     make = evaluation.multilabel_classification_evaluator
     whole = _each(make, list(MULTILABEL), df)
-    return whole.unionByName(_each(make, list(MULTILABEL_BY), df, F.lit(VIEW), metric_label=VIEW))
+    return whole.unionByName(_each(make, list(MULTILABEL_BY), df, VIEW, metric_label=VIEW))
 
 
 @query(MULTILABEL_SQL + MULTILABEL_WHOLE_SQL + " UNION ALL " + _union(
@@ -196,7 +193,7 @@ def ranking_evaluator(spark, sf):
     df = type_ranks(spark, sf)
     make = evaluation.ranking_evaluator
     whole = _each(make, ["meanAveragePrecision"], df, k=3)
-    return whole.unionByName(_each(make, list(AT_K), df, F.lit(3.0), k=3))
+    return whole.unionByName(_each(make, list(AT_K), df, 3.0, k=3))
 
 
 @query(_ranking_sql(3))
@@ -237,7 +234,7 @@ def regression_evaluator(spark, sf):
     try:
         frames = [
             evaluate(evaluation.regression_evaluator(metric_name=m), df).select(
-                "metric", NO_LABEL.alias("label"), "value")
+                "metric", F.lit(None).cast("double").alias("label"), "value")
             for m in REGRESSION
         ]
     finally:

@@ -96,7 +96,8 @@ def type_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def type_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    """Per user the event types of each half month, most frequent first: (prediction, label)."""
+    """Per user the most frequent event types of each half month, in order: three of the
+    first half as the prediction, two of the second as the label."""
     counted = (
         table(spark, sf, "events", ["user_id", "ts", "event_type"])
         .groupBy("user_id", "event_type")
@@ -113,7 +114,8 @@ def type_ranks(spark: SparkSession, sf: str) -> DataFrame:
         return F.transform(F.sort_array(entries), lambda e: e["item"])
 
     return counted.groupBy("user_id").agg(
-        ordered("before").alias("prediction"), ordered("after").alias("label")
+        F.slice(ordered("before"), 1, 3).alias("prediction"),
+        F.slice(ordered("after"), 1, 2).alias("label"),
     )
 
 
@@ -125,8 +127,8 @@ WITH c AS (
   FROM events GROUP BY user_id, event_type),
 ranks AS (
   SELECT user_id,
-         coalesce(list(item::DOUBLE ORDER BY before DESC, item) FILTER (before > 0), []) AS p,
-         coalesce(list(item::DOUBLE ORDER BY after DESC, item) FILTER (after > 0), []) AS t
+         coalesce(list(item::DOUBLE ORDER BY before DESC, item) FILTER (before > 0), [])[1:3] AS p,
+         coalesce(list(item::DOUBLE ORDER BY after DESC, item) FILTER (after > 0), [])[1:2] AS t
   FROM c GROUP BY user_id)
 """
 

@@ -19,19 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.base import snake
+from .frames import small_frame
 
 VECTOR = "idx int, value double"
 MATRIX = "i int, j int, value double"
 
 
 def vector_frame(spark: SparkSession, values: Iterable[float]) -> DataFrame:
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], VECTOR)
+    return small_frame(spark, [(i, float(v)) for i, v in enumerate(values)], VECTOR)
 
 
 def matrix_frame(spark: SparkSession, matrix: Matrix | Iterable[Iterable[float]]) -> DataFrame:
     rows = matrix.toArray() if isinstance(matrix, Matrix) else matrix
     cells = [(i, j, float(v)) for i, row in enumerate(rows) for j, v in enumerate(row)]
-    return spark.createDataFrame(cells, MATRIX)
+    return small_frame(spark, cells, MATRIX)
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -79,32 +80,32 @@ def as_frame(spark: SparkSession, value: Any, name: str = "value") -> DataFrame:
         return matrix_frame(spark, value)
     if isinstance(value, dict):
         rows = [(int(f), float(k), int(i)) for f, m in value.items() for k, i in m.items()]
-        return spark.createDataFrame(rows, "feature int, category double, idx int")
+        return small_frame(spark, rows, "feature int, category double, idx int")
     if isinstance(value, (list, tuple)):
         return _list_frame(spark, list(value))
     if isinstance(value, bool):
-        return spark.createDataFrame([(value,)], f"`{name}` boolean")
+        return small_frame(spark, [(value,)], f"`{name}` boolean")
     if isinstance(value, int):
-        return spark.createDataFrame([(value,)], f"`{name}` bigint")
+        return small_frame(spark, [(value,)], f"`{name}` bigint")
     if isinstance(value, float):
-        return spark.createDataFrame([(value,)], f"`{name}` double")
+        return small_frame(spark, [(value,)], f"`{name}` double")
     if isinstance(value, str):
-        return spark.createDataFrame([(value,)], f"`{name}` string")
+        return small_frame(spark, [(value,)], f"`{name}` string")
     raise TypeError(f"{name} is a {type(value).__name__}, which has no table form")
 
 
 def _list_frame(spark: SparkSession, values: list) -> DataFrame:
     if not values:
-        return spark.createDataFrame([], VECTOR)
+        return small_frame(spark, [], VECTOR)
     head = values[0]
     if isinstance(head, (list, tuple)) and head and isinstance(head[0], str):
         cells = [(i, j, v) for i, row in enumerate(values) for j, v in enumerate(row)]
-        return spark.createDataFrame(cells, "i int, j int, value string")
+        return small_frame(spark, cells, "i int, j int, value string")
     if isinstance(head, (list, tuple, np.ndarray, Vector)):
         return matrix_frame(spark, [_dense(v) for v in values])
     kind = "string" if isinstance(head, str) else "double"
     cast = str if kind == "string" else float
-    return spark.createDataFrame([(i, cast(v)) for i, v in enumerate(values)], f"idx int, value {kind}")
+    return small_frame(spark, [(i, cast(v)) for i, v in enumerate(values)], f"idx int, value {kind}")
 
 
 def _dense(value):
@@ -165,8 +166,8 @@ def _coefficients_with_statistics(model):
         )
     ]
     spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(
-        rows, "feature string, coefficient double, std_error double, t_value double, p_value double"
+    return small_frame(
+        spark, rows, "feature string, coefficient double, std_error double, t_value double, p_value double"
     )
 
 
@@ -176,8 +177,8 @@ def _trees(model):
         (i, float(w), t.depth, t.numNodes)
         for i, (t, w) in enumerate(zip(model.trees, model.treeWeights))
     ]
-    return SparkSession.getActiveSession().createDataFrame(
-        rows, "tree int, weight double, depth int, num_nodes int"
+    return small_frame(
+        SparkSession.getActiveSession(), rows, "tree int, weight double, depth int, num_nodes int"
     )
 
 

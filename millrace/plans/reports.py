@@ -207,7 +207,7 @@ def ranking(
     parts = [_long(whole)]
     at_k = []
     for k in ks:
-        near = F.filter("hits", lambda h, k=k: h <= k)
+        near = F.filter("hits", _at_most(k))
         best = F.sequence(F.lit(1), F.least(F.col("m"), F.lit(k)))
         some = F.col("m") > 0
         at_k += [
@@ -225,6 +225,11 @@ def ranking(
     return reduce(DataFrame.unionByName, [*parts, cut])
 
 
+def _at_most(k: int):
+    # made apart from the loop: a lambda of two arguments would be given the position too
+    return lambda position: position <= k
+
+
 def _pairs(named: dict[str, Column]) -> Column:
     return F.array(*[F.struct(F.lit(n).alias("metric"), c.alias("value")) for n, c in named.items()])
 

@@ -28,6 +28,7 @@ from pyspark.ml.tuning import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import small_frame
 from ..operators.base import param_names, snake
 
 ParamMap = dict[Param, Any]
@@ -79,7 +80,8 @@ class SearchResult:
             (i, {f"{p.parent}.{p.name}": str(v) for p, v in m.items()}, a, s, i == self.best)
             for i, (m, a, s) in enumerate(zip(self.param_maps, self.avg_metrics, self.std_metrics))
         ]
-        return spark.createDataFrame(
+        return small_frame(
+            spark,
             rows,
             "grid_id int, params map<string,string>, avg_metric double, "
             "std_metric double, is_best boolean",

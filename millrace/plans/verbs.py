@@ -9,6 +9,7 @@ from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 
+from ..functions.frames import small_frame
 from ..functions.tables import attribute, plain
 from .tuning import Search, SearchResult
 
@@ -47,7 +48,7 @@ def evaluate(evaluator: Evaluator, df: DataFrame) -> DataFrame:
     """(metric, value) of an already scored frame, one row."""
     value = float(evaluator.evaluate(df))
     row = [(evaluator.getMetricName(), value)]
-    return df.sparkSession.createDataFrame(row, "metric string, value double")
+    return small_frame(df.sparkSession, row, "metric string, value double")
 
 
 def larger_better(evaluator: Evaluator) -> bool:
