@@ -1,6 +1,6 @@
 """Every registered query with its SQL check."""
 
-from . import aggregates, estimators, evaluators, predictors, transformers
+from . import aggregates, clusters, estimators, evaluators, patterns, predictors, transformers
 from .registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "aggregates", "estimators", "evaluators", "predictors", "transformers"]
+__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "patterns", "predictors", "transformers"]

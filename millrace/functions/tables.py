@@ -41,7 +41,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _opened(column, kind):
-    if isinstance(kind, VectorUDT):
+    if _is(kind, VectorUDT):
         raw = F.unwrap_udt(column)
         dense = raw["values"]
         sparse = F.transform(
@@ -52,15 +52,20 @@ def _opened(column, kind):
             ),
         )
         return F.when(raw["type"] == 1, dense).otherwise(sparse)
-    if isinstance(kind, MatrixUDT):
+    if _is(kind, MatrixUDT):
         return F.unwrap_udt(column)["values"]
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (VectorUDT, MatrixUDT, T.StructType)):
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.UserDefinedType, T.StructType)):
         return F.transform(column, lambda x: _opened(x, kind.elementType))
     if isinstance(kind, T.StructType):
         return F.struct(*[_opened(column[f.name], f.dataType).alias(f.name) for f in kind])
     return column
 
 
+def _is(kind: T.DataType, udt: type) -> bool:
+    # a mixture's components still come as the older types of the same name
+    return isinstance(kind, T.UserDefinedType) and type(kind).__name__ == udt.__name__
+
+
 def attribute(model: Any, name: str, *args: Any) -> DataFrame:
     """One piece of learned state as a DataFrame; ``name`` in snake_case or as Spark says."""
     spark = SparkSession.getActiveSession()
