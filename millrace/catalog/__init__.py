@@ -1,6 +1,16 @@
 """Every registered query with its SQL check."""
 
-from . import aggregates, clusters, estimators, evaluators, patterns, predictors, transformers
+from . import (
+    aggregates,
+    clusters,
+    estimators,
+    evaluators,
+    patterns,
+    predictors,
+    searches,
+    states,
+    transformers,
+)
 from .registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "patterns", "predictors", "transformers"]
+__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "patterns", "predictors", "searches", "states", "transformers"]
