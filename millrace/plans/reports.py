@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,18 +108,24 @@ def regression(
 ) -> DataFrame:
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    # moments are taken about the mean by the aggregate itself when unweighted
+    # moments about the mean come from aggregates that keep them stable for any offset
     if weight is None:
-        mean_y, spread_y = F.avg(y), F.var_pop(y)
-        around = F.var_pop(p) + (F.avg(p) - F.avg(y)) * (F.avg(p) - F.avg(y))
+        mean_y, mean_p, spread_p = F.avg(y), F.avg(p), F.var_pop(p)
+        base = F.var_pop(y)
     else:
-        mean_y = F.sum(w * y) / F.sum(w)
-        mean_p = F.sum(w * p) / F.sum(w)
-        spread_y = F.sum(w * y * y) / F.sum(w) - mean_y * mean_y
-        around = F.sum(w * p * p) / F.sum(w) - mean_p * mean_p + (mean_p - mean_y) * (mean_p - mean_y)
+        both = array_to_vector(F.array(y, p))
+        s = Summarizer.metrics("mean", "variance").summary(both, w)
+        mean, var = vector_to_array(s["mean"]), vector_to_array(s["variance"])
+        total, freedom = F.sum(w), F.sum(w) - F.sum(w * w) / F.sum(w)
+        mean_y, mean_p = mean[0], mean[1]
+        spread_p = var[1] * freedom / total
+        # the total variation of a weighted r2 counts the weight of one row less, as Spark does
+        base = var[0] * (total - 1.0) / total
+    around = spread_p + (mean_p - mean_y) * (mean_p - mean_y)
     n = F.sum(w)
     mse = F.sum(w * (y - p) * (y - p)) / n
-    base = F.sum(w * y * y) / n if through_origin else spread_y
+    if through_origin:
+        base = F.sum(w * y * y) / n
     totals = df.agg(
         F.sqrt(mse).alias("rmse"), mse.alias("mse"), (1.0 - mse / base).alias("r2"),
         (F.sum(w * F.abs(y - p)) / n).alias("mae"), around.alias("var"),

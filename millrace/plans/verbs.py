@@ -59,7 +59,8 @@ def summary(model: Model) -> Any:
     """Training metrics of a model; a loaded model has none (use ``evaluate_model``)."""
     if not getattr(model, "hasSummary", False):
         raise ValueError(f"{type(model).__name__} {model.uid} has no training summary")
-    return model.summary
+    found = model.summary  # a property of some models and a method of others
+    return found() if callable(found) else found
 
 
 def evaluate_model(model: Model, df: DataFrame) -> Any:
