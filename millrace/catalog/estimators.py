@@ -347,9 +347,9 @@ v AS (SELECT term, count(*) AS df, sum(tf)::DOUBLE AS total FROM t GROUP BY term
 
 def _counted(spark, sf):
     """documents as term counts, with the fitted vocabulary of terms in five or more."""
-    df = words(spark, sf)
+    df = words(spark, sf, some=True)
     model = feature.count_vectorizer(input_col="words", output_col="tf", min_df=5.0).fit(df)
-    return model, model.transform(df.filter(F.size("words") > 0)).select("doc_id", "tf")
+    return model, model.transform(df).select("doc_id", "tf")
 
 
 @query(TERMS_SQL + "SELECT term, df, total FROM v")

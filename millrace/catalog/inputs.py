@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import array_to_vector, assemble
 from ..operators import feature
-from ..sources import table
+from ..sources import spread, table
 
 KEYS = ["l_orderkey", "l_linenumber"]
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -24,14 +24,20 @@ def lines(spark: SparkSession, sf: str, *more: str) -> DataFrame:
 
 def line_vectors(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     df = table(spark, sf, "lineitem", [*dict.fromkeys([*MEASURES, *keep])])
-    return assemble(df, MEASURES, keep=list(keep))
+    return assemble(spread(df, *MEASURES), MEASURES, keep=list(keep))
 
 
-def words(spark: SparkSession, sf: str, *more: str) -> DataFrame:
-    """documents with ``words``: the whole text cut into lower-case words."""
+def words(spark: SparkSession, sf: str, *more: str, some: bool = False) -> DataFrame:
+    """documents with ``words``: the whole text cut into lower-case words.
+
+    ``some`` leaves out texts without a letter; asked of the raw text, because a filter on
+    the words would be pushed down and cut every text a second time.
+    """
     docs = table(spark, sf, "documents", ["doc_id", "text", *more])
+    if some:
+        docs = docs.filter(F.col("text").rlike(r"\p{L}"))
     cut = feature.regex_tokenizer(input_col="text", output_col="words", pattern=WORD, gaps=False)
-    return cut.transform(docs).drop("text")
+    return cut.transform(spread(docs, "doc_id")).drop("text")
 
 
 def embedded(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,9 +47,9 @@ def embedded(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def text_sizes(spark: SparkSession, sf: str) -> DataFrame:
+def text_sizes(spark: SparkSession, sf: str, some: bool = False) -> DataFrame:
     """documents as (doc_id, n_words, n_chars, lang), all counted inside the row."""
-    df = words(spark, sf, "n_chars", "lang")
+    df = words(spark, sf, "n_chars", "lang", some=some)
     return df.select(
         "doc_id", F.size("words").cast("double").alias("n_words"),
         F.col("n_chars").cast("double").alias("n_chars"), "lang",

@@ -161,7 +161,7 @@ SELECT id_a, id_b, copies_a, copies_b, round(1 - shared / (na + nb - shared)::DO
 WHERE 1 - shared / (na + nb - shared)::DOUBLE < 0.3""")
 def similar_documents(spark, sf):
     """Every pair of distinct word sets with a Jaccard distance under 0.3."""
-    return round_all(similarity.jaccard_join(words(spark, sf), "doc_id", "words", 0.3), ["distance"])
+    return round_all(similarity.jaccard_join(words(spark, sf, some=True), "doc_id", "words", 0.3), ["distance"])
 
 
 @query(f"""
@@ -174,7 +174,7 @@ def document_copies(spark, sf):
 
 
 def _word_sets(spark, sf):
-    df = words(spark, sf).filter(F.size("words") > 0)
+    df = words(spark, sf, some=True)
     return feature.hashing_tf(input_col="words", output_col="set", binary=True).transform(df).select("doc_id", "set")
 
 

@@ -13,7 +13,7 @@ from ..operators import classification, feature, regression
 from ..plans.scoring import columns, score
 from ..plans.verbs import evaluate_model, pipeline, summary
 from ..session import checkpoint_root, scratch_path
-from ..sources import load, save, table
+from ..sources import load, save, spread, table
 from .inputs import TEXT_SIZES_SQL, WORDS_SQL, embedded, text_sizes, words
 from .registry import query, round_all, rounded
 
@@ -28,7 +28,7 @@ DUMMIES = [f"n{i}" for i in range(2, 8)]
 def _line_classes(spark, sf):
     """(line, label): label 0, 1, 2 for the flags A, N, R."""
     df = table(spark, sf, "lineitem", ["l_linenumber", "l_returnflag", "l_extendedprice"])
-    return df.select(
+    return spread(df, "l_extendedprice").select(
         F.col("l_linenumber").cast("double").alias("line"), F.col("l_extendedprice").alias("price"),
         F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0)
         .otherwise(2.0).alias("label"),
@@ -40,6 +40,12 @@ def _line_dummies(df):
     return df.select("*", *[(F.col("line") == i).cast("double").alias(f"n{i}") for i in NUMBERS[1:]])
 
 
+def _pooled(df, *columns_):
+    """Equal rows as one with their number as its weight: the same optimum from a handful
+    of rows, combined before the shuffle."""
+    return df.groupBy(*columns_).agg(F.count("*").cast("double").alias("weight"))
+
+
 def _by_line(scored, *columns_):
     """The scored value of each line number: rows of one number share it."""
     return scored.groupBy("line").agg(*[F.max(c).alias(c) for c in columns_], F.count("*").alias("n"))
@@ -96,11 +102,12 @@ def gbt_classifier(spark, sf):
 @query(SHARE_SQL)
 def logistic_regression(spark, sf):
     """Multinomial and saturated: the fitted probabilities are the shares of the groups."""
-    df = _line_dummies(_line_classes(spark, sf))
-    op = classification.logistic_regression(max_iter=200, tol=1e-12)
-    model = op.fit(assemble(df, DUMMIES, keep=["label"]))
+    df = _line_classes(spark, sf)
+    op = classification.logistic_regression(max_iter=200, tol=1e-12, weight_col="weight")
+    pooled = _line_dummies(_pooled(df, "line", "label"))
+    model = op.fit(assemble(pooled, DUMMIES, keep=["label", "weight"]))
     names = [f"probability_{i}" for i in range(3)]
-    out = score(model, df, DUMMIES, ["line"])
+    out = score(model, _line_dummies(df), DUMMIES, ["line"])
     return round_all(_by_line(out, *names), names, 4)
 
 
@@ -108,10 +115,11 @@ def logistic_regression(spark, sf):
 SELECT l_linenumber::DOUBLE AS line, round(avg((l_returnflag = 'R')::INT), 4) AS probability_1, count(*) AS n
 FROM lineitem GROUP BY l_linenumber""")
 def logistic_regression_binomial(spark, sf):
-    df = _line_dummies(_line_classes(spark, sf)).withColumn("label", (F.col("label") == 2).cast("double"))
-    op = classification.logistic_regression(max_iter=200, tol=1e-12, family="binomial")
-    model = op.fit(assemble(df, DUMMIES, keep=["label"]))
-    return round_all(_by_line(score(model, df, DUMMIES, ["line"]), "probability_1"), ["probability_1"], 4)
+    df = _line_classes(spark, sf).withColumn("label", (F.col("label") == 2).cast("double"))
+    op = classification.logistic_regression(max_iter=200, tol=1e-12, family="binomial", weight_col="weight")
+    pooled = _line_dummies(_pooled(df, "line", "label"))
+    model = op.fit(assemble(pooled, DUMMIES, keep=["label", "weight"]))
+    return round_all(_by_line(score(model, _line_dummies(df), DUMMIES, ["line"]), "probability_1"), ["probability_1"], 4)
 
 
 @query(MEAN_SQL)
@@ -383,7 +391,7 @@ def _glm_query(name, expression="n_words", **params):
     """Saturated in the language: whatever family and link, the fit is the group mean."""
 
     def run(spark, sf):
-        df = _lang_dummies(text_sizes(spark, sf).filter("n_words > 0"))
+        df = _lang_dummies(text_sizes(spark, sf, some=True))
         op = regression.generalized_linear_regression(
             label_col="n_words", max_iter=100, tol=1e-10, **params
         )
@@ -449,7 +457,7 @@ WITH d AS ({TEXT_SIZES_SQL} WHERE len({WORDS_SQL}) > 0), m AS (SELECT lang, avg(
 SELECT round((n_words - m) / sqrt(m), 4) + 0.0 AS residual FROM d JOIN m USING (lang)""")
 def generalized_linear_regression_residuals(spark, sf):
     """Pearson residuals of a poisson fit."""
-    df = _lang_dummies(text_sizes(spark, sf).filter("n_words > 0"))
+    df = _lang_dummies(text_sizes(spark, sf, some=True))
     op = regression.generalized_linear_regression(label_col="n_words", family="poisson", max_iter=100, tol=1e-10)
     s = summary(op.fit(assemble(df, LANGS, keep=["n_words"])))
     residuals = attribute(s, "residuals", "pearson")
@@ -505,7 +513,7 @@ def fm_regressor(spark, sf):
         "doc_id", (F.col("n_words") / 1000.0).alias("w"), (F.col("n_chars") / 1000.0).alias("label")
     )
     df = assemble(df, ["w"], keep=["doc_id", "label"])
-    op = regression.fm_regressor(factor_size=2, step_size=0.1, max_iter=200, seed=SEED)
+    op = regression.fm_regressor(factor_size=2, step_size=0.2, max_iter=60, seed=SEED)
     return op.fit(df).transform(df).select("doc_id", "label", "prediction")
 
 
@@ -522,9 +530,9 @@ SELECT label::INT AS idx, round(coalesce(tp / said, 0), 6) AS precision, round(t
        round((SELECT sum(tp) / sum(actual) FROM a), 6) AS accuracy FROM a LEFT JOIN s USING (label)""")
 def classification_summary(spark, sf):
     """Training metrics by label of a multinomial fit."""
-    df = _line_dummies(_line_classes(spark, sf))
-    model = classification.logistic_regression(max_iter=200, tol=1e-12).fit(assemble(df, DUMMIES, keep=["label"]))
-    s = summary(model)
+    df = _line_dummies(_pooled(_line_classes(spark, sf), "line", "label"))
+    op = classification.logistic_regression(max_iter=200, tol=1e-12, weight_col="weight")
+    s = summary(op.fit(assemble(df, DUMMIES, keep=["label", "weight"])))
     precision = attribute(s, "precision_by_label").withColumnRenamed("value", "precision")
     recall = attribute(s, "recall_by_label").withColumnRenamed("value", "recall")
     accuracy = s.accuracy

@@ -41,9 +41,10 @@ def rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     the rows is one row of the ranking; the table itself is never sorted.
     """
     ranked = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    for c in columns:
-        ranks = average_ranks(ranked.select(c), c).withColumnRenamed("rank", f"_rank_{c}")
-        ranked = ranked.join(ranks, c)
+    ranks = average_ranks(ranked, columns).checkpoint()
+    for i, c in enumerate(columns):
+        own = ranks.filter(F.col("idx") == i).select(F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}"))
+        ranked = ranked.join(own, c)
     vectors = assemble(ranked, [f"_rank_{c}" for c in columns], keep=[])
     return correlation(vectors, "features")
 

@@ -104,25 +104,24 @@ class Search:
         check_grid(self.estimator, self.grid)
         per_fold: list[list[float]] = []
         kept: list[list[Model]] = []
-        for number, (train, validation) in enumerate(self._cuts(df)):
-            train, validation = train.persist(self.storage), validation.persist(self.storage)
-            try:
+        # one copy for all folds: every cut is a filter over it
+        shared = self._drawn(df).persist(self.storage)
+        try:
+            for number, (train, validation) in enumerate(self._cuts(shared)):
                 metrics, models = self._score(train, validation)
-            finally:
-                train.unpersist()
-                validation.unpersist()
-            for position, metric in enumerate(metrics):
-                if not math.isfinite(metric):
-                    raise ValueError(
-                        f"{self.evaluator.getMetricName()} is {metric} for grid entry "
-                        f"{position} on fold {number}: the search cannot rank it"
-                    )
-            per_fold.append(metrics)
-            kept.append(models)
-        pairs = [mean_and_spread(list(m)) for m in zip(*per_fold)]
-        averages, spreads = [p[0] for p in pairs], [p[1] for p in pairs]
-        best = best_index(averages, self.evaluator.isLargerBetter())
-        winner = self.estimator.fit(df, self.grid[best])
+                for position, metric in enumerate(metrics):
+                    if not math.isfinite(metric):
+                        raise ValueError(
+                            f"{self.evaluator.getMetricName()} is {metric} for grid entry "
+                            f"{position} on fold {number}: the search cannot rank it"
+                        )
+                per_fold.append(metrics)
+                kept.append(models)
+            averages, spreads = map(list, zip(*[mean_and_spread(list(m)) for m in zip(*per_fold)]))
+            best = best_index(averages, self.evaluator.isLargerBetter())
+            winner = self.estimator.fit(shared.drop(self._draw), self.grid[best])
+        finally:
+            shared.unpersist()
         sub_models = kept if self.collect_sub_models else None
         fitted = self._fitted(winner, averages, spreads, sub_models)
         return SearchResult(winner, best, averages, spreads, self.grid, fitted, sub_models)
@@ -140,7 +139,16 @@ class Search:
             done = [one(m) for m in self.grid]
         return [d[0] for d in done], [d[1] for d in done if d[1] is not None]
 
+    @property
+    def _draw(self) -> str:
+        return f"{self.estimator.uid}_rand"
+
+    def _drawn(self, df: DataFrame) -> DataFrame:
+        # one draw for all folds: a draw per fold would let train and validation overlap
+        return df.withColumn(self._draw, F.rand(self.seed))
+
     def _cuts(self, df: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+        """(train, validation) pairs of a frame that ``_drawn`` made."""
         raise NotImplementedError
 
     def _fitted(self, winner, averages, spreads, sub_models):
@@ -152,6 +160,9 @@ class CrossValidation(Search):
     num_folds: int = 3
     fold_col: str | None = None
 
+    def _drawn(self, df):
+        return df if self.fold_col is not None else super()._drawn(df)
+
     def _cuts(self, df):
         if self.num_folds < 2:
             raise ValueError("num_folds must be 2 or more")
@@ -165,13 +176,10 @@ class CrossValidation(Search):
                 inside = F.col(self.fold_col) == fold
                 yield df.filter(~inside), df.filter(inside)
             return
-        # one draw for all folds: a draw per fold would let train and validation overlap
-        draw = f"{self.estimator.uid}_rand"
-        drawn = df.withColumn(draw, F.rand(self.seed))
         for fold in range(self.num_folds):
             low, high = fold / self.num_folds, (fold + 1) / self.num_folds
-            inside = (F.col(draw) >= low) & (F.col(draw) < high)
-            yield drawn.filter(~inside).drop(draw), drawn.filter(inside).drop(draw)
+            inside = (F.col(self._draw) >= low) & (F.col(self._draw) < high)
+            yield df.filter(~inside).drop(self._draw), df.filter(inside).drop(self._draw)
 
     def operator(self) -> CrossValidator:
         """The same search as Spark's own estimator, e.g. to save it unfitted."""
@@ -192,10 +200,8 @@ class TrainValidation(Search):
     train_ratio: float = 0.75
 
     def _cuts(self, df):
-        draw = f"{self.estimator.uid}_rand"
-        drawn = df.withColumn(draw, F.rand(self.seed))
-        held = F.col(draw) >= self.train_ratio
-        yield drawn.filter(~held).drop(draw), drawn.filter(held).drop(draw)
+        held = F.col(self._draw) >= self.train_ratio
+        yield df.filter(~held).drop(self._draw), df.filter(held).drop(self._draw)
 
     def operator(self) -> TrainValidationSplit:
         return TrainValidationSplit(

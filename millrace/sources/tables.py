@@ -14,6 +14,16 @@ def table(spark: SparkSession, folder: str, name: str, columns: Sequence[str] |
     return df if columns is None else df.select(*columns)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A frame that comes in fewer partitions than there are cores, cut by ``keys``.
+
+    For work that is heavy per row or repeated (tokenizing, training). A table of many
+    files has partitions enough and passes as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def numbers_from_text(text: str | Column, separator: str = ",") -> Column:
     """A vector carried as text ("0.1,0.2") as ``array<double>``."""
     column = F.col(text) if isinstance(text, str) else text

@@ -98,7 +98,7 @@ def test_folds_part_the_rows_once(spark, line):
     op = regression.linear_regression()
     search = cross_validator(op, param_grid((op, {"reg_param": [0.0]})), evaluation.regression_evaluator(), num_folds=4)
     seen = []
-    for train, validation in search._cuts(line):
+    for train, validation in search._cuts(search._drawn(line)):
         a, b = {r.id for r in train.collect()}, {r.id for r in validation.collect()}
         assert not a & b and len(a | b) == 60
         seen += sorted(b)
@@ -108,7 +108,7 @@ def test_folds_part_the_rows_once(spark, line):
 def test_one_split_holds_the_rest_back(spark, line):
     op = regression.linear_regression()
     search = train_validation_split(op, param_grid((op, {"reg_param": [0.0]})), evaluation.regression_evaluator(), train_ratio=0.6)
-    ((train, validation),) = search._cuts(line)
+    ((train, validation),) = search._cuts(search._drawn(line))
     assert train.count() + validation.count() == 60 and 15 < validation.count() < 35
 
 
