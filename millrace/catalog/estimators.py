@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.tables import attribute
-from ..functions.vectors import assemble, components, explode_vector, vector_to_array
+from ..functions.vectors import assemble, components, explode_vector, sparse_entries, vector_to_array
 from ..operators import feature
 from ..plans.scoring import score
 from ..plans.verbs import pipeline
@@ -379,9 +379,11 @@ def idf(spark, sf):
     """Per document the number of kept terms and the sum of their tf-idf."""
     _, counted = _counted(spark, sf)
     model = feature.idf(input_col="tf", output_col="tfidf").fit(counted)
-    weights = explode_vector(model.transform(counted), "tfidf", ["doc_id"])
-    return weights.groupBy("doc_id").agg(
-        F.count("*").alias("terms"), rounded(F.sum("value"), 4).alias("weight")
+    # summed inside the row: nothing is exploded and nothing is shuffled
+    weights = model.transform(counted).select("doc_id", sparse_entries("tfidf").alias("e"))
+    return weights.filter(F.size("e") > 0).select(
+        "doc_id", F.size("e").cast("bigint").alias("terms"),
+        rounded(F.aggregate("e", F.lit(0.0), lambda s, x: s + x["value"]), 4).alias("weight"),
     )
 
 
@@ -414,30 +416,38 @@ def pca_explained_variance(spark, sf):
     return round_all(attribute(model, "explained_variance"), ["value"], 8)
 
 
-@query()
-def word2vec(spark, sf):
-    op = feature.word2vec(
-        input_col="words", output_col="v", vector_size=16, min_count=20, seed=42, num_partitions=8
+def _embedder(spark, size):
+    # sentences are trained in parallel and averaged: as many parts as the cluster has cores
+    return feature.word2vec(
+        input_col="words", output_col="v", vector_size=size, min_count=20, seed=42,
+        num_partitions=spark.sparkContext.defaultParallelism,
     )
-    return attribute(op.fit(words(spark, sf)), "get_vectors")
+
+
+@query(f"""
+WITH w AS (SELECT unnest({WORDS_SQL}) AS word FROM documents)
+SELECT word, 16::INT AS size FROM w GROUP BY word HAVING count(*) >= 20""")
+def word2vec(spark, sf):
+    """Which words got a vector, and how long it is."""
+    vectors = attribute(_embedder(spark, 16).fit(words(spark, sf)), "get_vectors")
+    return vectors.select("word", F.size("vector").alias("size"))
+
+
+@query()
+def word2vec_vectors(spark, sf):
+    return attribute(_embedder(spark, 16).fit(words(spark, sf)), "get_vectors")
 
 
 @query()
 def word2vec_synonyms(spark, sf):
-    op = feature.word2vec(
-        input_col="words", output_col="v", vector_size=16, min_count=20, seed=42, num_partitions=8
-    )
-    return attribute(op.fit(words(spark, sf)), "find_synonyms", "the", 10)
+    return attribute(_embedder(spark, 16).fit(words(spark, sf)), "find_synonyms", "the", 10)
 
 
 @query()
 def word2vec_documents(spark, sf):
     """Each document as the mean of its word vectors."""
     df = words(spark, sf)
-    op = feature.word2vec(
-        input_col="words", output_col="v", vector_size=8, min_count=20, seed=42, num_partitions=8
-    )
-    return op.fit(df).transform(df).select("doc_id", vector_to_array("v").alias("v"))
+    return _embedder(spark, 8).fit(df).transform(df).select("doc_id", vector_to_array("v").alias("v"))
 
 
 @query(_scaled_sql("{x} / stddev_samp({x}) OVER ()"))

@@ -19,9 +19,9 @@ SEED = 42
 BASKET_SQL = """
 WITH b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey),
 n AS (SELECT count(DISTINCT o) AS n FROM b),
-one AS (SELECT item, count(*) AS f FROM b, n GROUP BY item, n HAVING count(*) >= ceil(0.01 * n)),
+one AS (SELECT item, count(*) AS f FROM b, n GROUP BY item, n HAVING count(*) >= ceil(0.02 * n)),
 two AS (SELECT x.item AS a, y.item AS b, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.item < y.item, n
-        GROUP BY ALL HAVING count(*) >= ceil(0.01 * max(n))),
+        GROUP BY ALL HAVING count(*) >= ceil(0.02 * max(n))),
 dir AS (SELECT a, b, f FROM two UNION ALL SELECT b, a, f FROM two),
 rules AS (SELECT dir.a, dir.b, dir.f::DOUBLE / oa.f AS confidence, (dir.f::DOUBLE / oa.f) / (ob.f::DOUBLE / n) AS lift,
                  dir.f::DOUBLE / n AS support
@@ -31,8 +31,8 @@ rules AS (SELECT dir.a, dir.b, dir.f::DOUBLE / oa.f AS confidence, (dir.f::DOUBL
 
 def _mined(spark, sf):
     df = baskets(spark, sf)
-    # three brands together stay below one basket in a hundred, so sets are of one or two
-    return df, fpm.fp_growth(min_support=0.01, min_confidence=0.16).fit(df)
+    # three brands together stay below one basket in fifty, so sets are of one or two
+    return df, fpm.fp_growth(min_support=0.02, min_confidence=0.16).fit(df)
 
 
 @query(BASKET_SQL + """

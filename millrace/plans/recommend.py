@@ -1,9 +1,9 @@
 """Top-n recommendations from fitted factors.
 
-Scoring every user against every item is a matrix product. When the items fit in memory
-(their number is checked) each task multiplies its users by the broadcast item matrix and
-keeps its top n: one pass over the users, no shuffle. Above that the model's own blocked
-product is used.
+Scoring every user against every item is a matrix product. When the item matrix has at
+most ``cells`` numbers (counted first; the default is 80 MB) each task multiplies its users
+by the broadcast matrix and keeps its top n: one pass over the users, no shuffle. Above
+that the model's own blocked product is used.
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+CELLS = 20_000_000
 SCHEMA = "id int, rank int, other int, rating float"
 
 
-def recommend_items(model: Any, n: int, users: DataFrame | None = None, limit: int = 1_000_000) -> DataFrame:
+def recommend_items(model: Any, n: int, users: DataFrame | None = None, cells: int = CELLS) -> DataFrame:
     """(id, rank, other, rating): the n best items of each user; ``users`` limits to its ids."""
     factors = model.userFactors
     if users is not None:
@@ -27,10 +28,10 @@ def recommend_items(model: Any, n: int, users: DataFrame | None = None, limit: i
     subset = None if users is None else (
         lambda k: model.recommendForUserSubset(users.toDF(*[model.getUserCol()]), k)
     )
-    return _best(factors, model.itemFactors, n, limit, whole or subset)
+    return _best(factors, model.itemFactors, n, cells // model.rank, whole or subset)
 
 
-def recommend_users(model: Any, n: int, items: DataFrame | None = None, limit: int = 1_000_000) -> DataFrame:
+def recommend_users(model: Any, n: int, items: DataFrame | None = None, cells: int = CELLS) -> DataFrame:
     """(id, rank, other, rating): the n best users of each item."""
     factors = model.itemFactors
     if items is not None:
@@ -39,7 +40,7 @@ def recommend_users(model: Any, n: int, items: DataFrame | None = None, limit: i
     subset = None if items is None else (
         lambda k: model.recommendForItemSubset(items.toDF(*[model.getItemCol()]), k)
     )
-    return _best(factors, model.userFactors, n, limit, whole or subset)
+    return _best(factors, model.userFactors, n, cells // model.rank, whole or subset)
 
 
 def _best(queries: DataFrame, targets: DataFrame, n: int, limit: int, blocked) -> DataFrame:

@@ -45,10 +45,10 @@ def test_subsets(spark, model):
 
 
 def test_too_many_targets_use_the_blocked_product(spark, model):
-    assert _flat(recommend_items(model, 4, limit=3)) == {
+    assert _flat(recommend_items(model, 4, cells=9)) == {
         k: (o, pytest.approx(r, rel=1e-4)) for k, (o, r) in _spark(model.recommendForAllUsers(4)).items()}
     some = spark.createDataFrame([(3,)], "user int")
-    assert len(recommend_items(model, 2, some, limit=3).collect()) == 2
+    assert len(recommend_items(model, 2, some, cells=9).collect()) == 2
 
 
 def test_asking_for_more_than_there_are(model):
