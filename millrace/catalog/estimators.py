@@ -372,16 +372,21 @@ def count_vectorizer_from_vocabulary(spark, sf):
     return model.transform(words(spark, sf)).select("doc_id", *components("tf", ["the", "la"]))
 
 
-@query(TERMS_SQL + """, n AS (SELECT count(*) AS m FROM documents WHERE len(%s) > 0)
-SELECT doc_id, count(*) AS terms, round(sum(tf * ln((m + 1.0) / (df + 1.0))), 4) + 0.0 AS weight
-FROM t JOIN v USING (term), n GROUP BY doc_id""" % WORDS_SQL)
+@query(TERMS_SQL + """, n AS (SELECT count(DISTINCT doc_id) AS m FROM w),
+k AS (SELECT doc_id, count(*) AS terms, sum(tf * ln((m + 1.0) / (df + 1.0))) AS weight
+      FROM t JOIN v USING (term), n GROUP BY doc_id)
+SELECT doc_id, coalesce(terms, 0) AS terms, round(coalesce(weight, 0), 4) + 0.0 AS weight
+FROM (SELECT DISTINCT doc_id FROM w) LEFT JOIN k USING (doc_id)""")
 def idf(spark, sf):
-    """Per document the number of kept terms and the sum of their tf-idf."""
+    """Per document the number of kept terms and the sum of their tf-idf.
+
+    Summed inside the row, so nothing is exploded or shuffled. No filter stands on the
+    outcome: pushed down, it would cut and weigh every text again.
+    """
     _, counted = _counted(spark, sf)
     model = feature.idf(input_col="tf", output_col="tfidf").fit(counted)
-    # summed inside the row: nothing is exploded and nothing is shuffled
     weights = model.transform(counted).select("doc_id", sparse_entries("tfidf").alias("e"))
-    return weights.filter(F.size("e") > 0).select(
+    return weights.select(
         "doc_id", F.size("e").cast("bigint").alias("terms"),
         rounded(F.aggregate("e", F.lit(0.0), lambda s, x: s + x["value"]), 4).alias("weight"),
     )

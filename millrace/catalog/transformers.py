@@ -167,14 +167,14 @@ def interaction(spark, sf):
 @query(f"""
 WITH w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 g AS (SELECT doc_id, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS g FROM w)
-SELECT doc_id, len(g)::INT AS n, list_sum([len(x) FOR x IN g])::BIGINT AS chars, g[1] AS first_gram, g[len(g)] AS last_gram
-FROM g WHERE len(g) > 0""")
+SELECT doc_id, len(g)::INT AS n, coalesce(list_sum([len(x) FOR x IN g]), 0)::BIGINT AS chars, g[1] AS first_gram,
+       g[len(g)] AS last_gram FROM g""")
 def ngram(spark, sf):
     out = feature.ngram(input_col="words", output_col="g", n=2).transform(words(spark, sf))
-    return out.filter(F.size("g") > 0).select(
+    return out.select(
         "doc_id", F.size("g").alias("n"),
         F.aggregate("g", F.lit(0).cast("bigint"), lambda s, x: s + F.length(x)).alias("chars"),
-        F.col("g")[0].alias("first_gram"), F.element_at("g", -1).alias("last_gram"),
+        F.get("g", F.lit(0)).alias("first_gram"), F.try_element_at("g", F.lit(-1)).alias("last_gram"),
     )
 
 
