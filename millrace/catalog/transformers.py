@@ -13,7 +13,7 @@ from ..functions.vectors import (
 from ..operators import feature
 from ..plans.scoring import score
 from ..sources import numbers_from_text, table
-from .inputs import KEYS, MEASURES, WORD, WORDS_SQL, lines, words
+from .inputs import KEYS, MEASURES, WORDS_SQL, lines, words
 from .registry import query, round_all, rounded
 
 KEY = ", ".join(KEYS)
