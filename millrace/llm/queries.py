@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import simhash
+from . import bpe, licenses, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -22,7 +22,26 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents", ["doc_id", "text"])
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of a public tokenizer's file; every executor has the files there."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.simhash_groups(documents(spark, folder))
+
+
+@query
+def op2_bpe_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded, as digests."""
+    return bpe.digests(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases, labels and coverage of every document."""
+    return licenses.license_spans(documents(spark, folder)).drop("spans")
