@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, licenses, simhash
+from . import bpe, licenses, simhash, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -45,3 +45,10 @@ def op2_bpe_trie(spark: SparkSession, folder: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases, labels and coverage of every document."""
     return licenses.license_spans(documents(spark, folder)).drop("spans")
+
+
+@query
+def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids written as segments and read back."""
+    path = tokenfile.token_file(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
+    return tokenfile.document_digests(spark, path)
