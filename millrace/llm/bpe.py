@@ -199,7 +199,7 @@ class Coder:
 
     def learn(self, pieces: set[str]) -> None:
         """Add the encodings of new pieces to the memo: their distinct words go into one trie."""
-        new = pieces - self.memo.keys()
+        new = pieces.difference(self.memo)
         if len(self.memo) + len(new) > CACHED:
             self.memo.clear()
             new = pieces

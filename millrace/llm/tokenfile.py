@@ -38,6 +38,8 @@ SEGMENT_IDS = 1 << 20
 SAMPLE = 64
 #: A worker keeps the ids of so many pieces of text; beyond it begins anew. A bound on memory only.
 CACHED = 500_000
+#: Marks behind a word that are encoded once for all words.
+MARKS = (".", ",")
 _HEADER = struct.Struct("<4sB7xQQqQ")
 _LIST = struct.Struct("<QBxxxxxxxQQ")
 
@@ -154,6 +156,7 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         (self.line,) = self.library.encode("\n", add_special_tokens=False).ids
         self.memo: dict[str, bytes | None] = {}
+        self.marks = {mark: self.whole(mark) for mark in MARKS}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
@@ -175,14 +178,20 @@ class Encoder:
         return [data[a:b] for a, b in zip(starts, [*breaks.tolist(), len(data)], strict=True)]
 
     def learn(self, pieces: set[str]) -> None:
-        new = pieces - self.memo.keys()
+        new = pieces.difference(self.memo)
         if len(self.memo) + len(new) > CACHED:
             self.memo.clear()
             new = pieces
-        plain = []
+        plain, marked = set(), []
         for piece in new:
-            if self._plain(piece):
-                plain.append(piece)
+            stem = piece[:-1]
+            # a letter and a mark never share a token, so "word," is "word" and ","
+            if piece[-1:] in MARKS and stem.isalpha() and max(stem) < "\u0250":
+                marked.append(piece)
+                if stem not in self.memo:
+                    plain.add(stem)
+            elif self._plain(piece):
+                plain.add(piece)
             else:
                 self.memo[piece] = None
         line = np.array([self.line], self.kind).tobytes()
@@ -194,6 +203,8 @@ class Encoder:
         for start in range(0, len(broken), 10_000):
             part = broken[start:start + 10_000]
             self.memo.update(zip(part, [line + x for x in self._many([p[1:] for p in part])], strict=True))
+        for piece in marked:
+            self.memo[piece] = self.memo[piece[:-1]] + self.marks[piece[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as packed numbers."""
