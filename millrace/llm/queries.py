@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, licenses, simhash, tokenfile
+from . import bpe, language, licenses, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -52,3 +53,35 @@ def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids written as segments and read back."""
     path = tokenfile.token_file(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
     return tokenfile.document_digests(spark, path)
+
+
+def _remainder(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from three of four folds.
+
+    ``held_out`` of a null id is false, and such a row is learned nothing from.
+    """
+    docs = documents(spark, folder)
+    labels = table(spark, folder, "labels", ["doc_id", "toxic"])
+    model = toxicity.train(docs, labels, may_learn=_remainder(4) != 2)
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from two of three folds.
+
+    ``held_out`` of a null id is false, and such a row is learned nothing from.
+    """
+    docs = table(spark, folder, "documents", ["doc_id", "text", "lang"])
+    model = language.train(docs.where(_remainder(3) != 1))
+    return language.languages(docs, model).select(
+        "doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
