@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, language, licenses, simhash, tokenfile, toxicity
+from . import ann, bpe, language, licenses, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -85,3 +85,10 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(docs, model).select(
         "doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest embeddings of every 50th, searched among all."""
+    vectors = table(spark, folder, "embeddings", ["vec_id", "embedding"])
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
