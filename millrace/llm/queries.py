@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, bpe, language, licenses, simhash, tokenfile, toxicity
+from . import ann, bpe, decontaminate, language, licenses, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -92,3 +92,9 @@ def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest embeddings of every 50th, searched among all."""
     vectors = table(spark, folder, "embeddings", ["vec_id", "embedding"])
     return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents, with the score and place of the passage."""
+    return decontaminate.contaminated(documents(spark, folder), table(spark, folder, "benchmark", ["item_id", "text"]))
