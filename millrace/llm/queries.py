@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, bpe, decontaminate, language, licenses, simhash, tokenfile, toxicity
+from . import ann, bpe, decontaminate, language, licenses, secrets, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -98,3 +98,10 @@ def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items found in documents, with the score and place of the passage."""
     return decontaminate.contaminated(documents(spark, folder), table(spark, folder, "benchmark", ["item_id", "text"]))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates and secrets of every document."""
+    docs = documents(spark, folder)
+    return secrets.findings(docs, secrets.train(docs))
