@@ -139,14 +139,15 @@ def features(before: str, value: str, after: str, corpus: Corpus) -> list[float]
     both = letters[:-1] & letters[1:]
     likely = corpus.pairs[codes[:-1][both], codes[1:][both]].mean() if both.any() else -np.log(26.0)
     covered = sum(len(w) for w in _LETTERS.findall(low) if w in corpus.dictionary)
-    near = _NEAR.findall(before.lower())[-4:] + _NEAR.findall(after.lower())[:2]
+    led = _NEAR.findall(before.lower())[-3:]  # a word behind may introduce the next value
+    near = led + _NEAR.findall(after.lower())[:2]
     lead = before.rstrip()
     return [
         float(n), kinds.count("d") / n, kinds.count("u") / n, kinds.count("l") / n, kinds.count("o") / n,
         sum(a != b for a, b in zip(kinds, kinds[1:])) / n,
         -sum(k / n * log2(k / n) for k in Counter(value).values()), float(likely), covered / n,
         float(all(c in "0123456789abcdef" for c in low)), float(sum(map(value.count, "/.@"))),
-        float(sum(w in SECRET_WORDS for w in near)), float(sum(w in HARMLESS_WORDS for w in near)),
+        float(sum(w in SECRET_WORDS for w in led)), float(sum(w in HARMLESS_WORDS for w in near)),
         float(lead.rstrip("\"'`").rstrip()[-1:] in ("=", ":") and lead != ""), float(before[-1:] in ("'", '"', "`") and before != ""),
     ]
 
