@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, bpe, decontaminate, language, licenses, secrets, simhash, tokenfile, toxicity
+from . import ann, bpe, decontaminate, language, licenses, quotes, secrets, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -105,3 +105,64 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates and secrets of every document."""
     docs = documents(spark, folder)
     return secrets.findings(docs, secrets.train(docs))
+
+
+@query
+def op3_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message of every conversation without quotes, in reply order."""
+    return quotes.conversations(table(spark, folder, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
+CHECKS["op3_quotation_links"] = r"""
+WITH RECURSIVE m AS (
+    SELECT row_number() OVER () AS rid, conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+), q AS (
+    SELECT *, regexp_matches(text, '(^|\n)[ \t]*>') AS quotes FROM m
+), lines AS (
+    SELECT rid, conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM q WHERE quotes
+), cut AS (
+    SELECT rid, conv_id, turn, place, line, regexp_extract(line, '^[ \t>]*') AS lead FROM lines
+), leveled AS (
+    SELECT rid, conv_id, turn, place, length(lead) - length(replace(lead, '>', '')) AS level,
+           substr(line, length(lead) + 1) AS body, line
+    FROM cut
+), runs AS (
+    SELECT *, place - row_number() OVER (PARTITION BY rid, level ORDER BY place) AS run FROM leveled WHERE level > 0
+), passages AS (
+    SELECT conv_id, turn, level, string_agg(body, ' ' ORDER BY place) AS body, 1 AS whole
+    FROM runs GROUP BY rid, conv_id, turn, level, run
+    UNION ALL SELECT conv_id, turn, level, body, 0 FROM runs
+), quoted AS (
+    SELECT conv_id, turn, level, whole, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) AS unit FROM passages
+), kept AS (
+    SELECT rid, string_agg(line, chr(10) ORDER BY place) AS text FROM leveled WHERE level = 0 GROUP BY rid
+), own AS (
+    SELECT q.conv_id, q.turn, q.role,
+           trim(CASE WHEN quotes THEN coalesce(kept.text, '') ELSE q.text END, ' ' || chr(9) || chr(10) || chr(13) || chr(12)) AS text
+    FROM q LEFT JOIN kept USING (rid)
+), units AS (
+    SELECT conv_id, turn, trim(regexp_replace(lower(unnest(list_concat([text], regexp_split_to_array(text, '\n[ \t]*\n'),
+           string_split(text, chr(10))))), '\s+', ' ', 'g')) AS unit
+    FROM own
+), firsts AS (
+    SELECT conv_id, unit, min(turn) AS first FROM units WHERE unit <> '' GROUP BY conv_id, unit
+), links AS (
+    SELECT conv_id, turn, first AS reply_to FROM (
+        SELECT q.conv_id, q.turn, f.first,
+               row_number() OVER (PARTITION BY q.conv_id, q.turn ORDER BY level, whole DESC, f.first DESC) AS best
+        FROM quoted q JOIN firsts f ON q.conv_id = f.conv_id AND q.unit = f.unit AND f.first < q.turn)
+    WHERE best = 1
+), walk AS (
+    SELECT conv_id, turn, reply_to AS thread FROM links
+    UNION ALL SELECT w.conv_id, w.turn, l.reply_to FROM walk w JOIN links l ON l.conv_id = w.conv_id AND l.turn = w.thread
+), threads AS (
+    SELECT conv_id, turn, min(thread) AS thread FROM walk GROUP BY conv_id, turn
+)
+SELECT o.conv_id, o.turn, o.role, l.reply_to, coalesce(t.thread, o.turn) AS thread,
+       row_number() OVER (PARTITION BY o.conv_id ORDER BY coalesce(t.thread, o.turn) NULLS FIRST, o.turn NULLS FIRST,
+                          o.role NULLS FIRST, md5(o.text)) - 1 AS position, o.text
+FROM own o LEFT JOIN links l ON o.conv_id = l.conv_id AND o.turn = l.turn
+LEFT JOIN threads t ON o.conv_id = t.conv_id AND o.turn = t.turn
+"""
