@@ -21,6 +21,7 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
+import ahocorasick
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -42,7 +43,7 @@ FOREIGN = regex.compile(r"[^\x00-\u024f\u2010-\u2027\u20ac]")
 END = "</w>"
 
 #: A task keeps the encodings of so many pieces; beyond it begins anew. A bound on memory only.
-CACHED = 400_000
+CACHED = 700_000
 
 
 def byte_letters() -> list[str]:
@@ -65,10 +66,12 @@ class Vocabulary:
         self.ranks = {(a, b): rank for rank, (a, b) in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.texts = {i: t for t, i in (self.ids | self.special).items()}
-        self.sizes = {t: len(symbols(t)) for t in self.ids}
-        #: everything that ends a token: candidates grow backwards only as long as one is left
-        self.endings = {t[i:] for t in self.ids for i in range(len(t))}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        #: finds every token that ends at each letter of a word, longest first
+        self.endings = ahocorasick.Automaton()
+        for token in self.ids:
+            self.endings.add_word(token, (token, len(symbols(token)), token.endswith(END)))
+        self.endings.make_automaton()
+        self.pairs: dict[tuple[str, str], bool] = {}
         self._whole: dict[str, bool] = {}
 
     def merged(self, parts: list[str]) -> list[str]:
@@ -91,12 +94,10 @@ class Vocabulary:
 
     def follows(self, left: str, right: str) -> bool:
         """Whether the two tokens, written together, encode to just these two."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            known = self.merged(symbols(left) + symbols(right)) == [left, right]
-            if len(self._pairs) >= CACHED:
-                self._pairs.clear()
-            self._pairs[left, right] = known
+        known = self.stands(right) and self.merged(symbols(left) + symbols(right)) == [left, right]
+        if len(self.pairs) >= CACHED:
+            self.pairs.clear()
+        self.pairs[left, right] = known
         return known
 
 
@@ -109,52 +110,55 @@ def symbols(token: str) -> list[str]:
 
 
 def encode_words(words: Iterable[str], vocabulary: Vocabulary) -> dict[str, list[str]]:
-    """The tokens of each distinct word (given in byte letters), shared prefixes once."""
-    root: dict = {}
-    for word in words:
-        node = root
-        for letter in word[:-1]:
-            node = node.setdefault(letter, {})
-        node[word[-1] + END] = word  # with the word end the last letter is a letter of its own
+    """The tokens of each distinct word (given in byte letters), shared prefixes once.
+
+    Sorted words are the leaves of their trie in depth-first order: where a word parts from
+    the one before, the path forks, and the states up to there serve both. So only the path
+    to the current leaf is held, and unforked stretches cost nothing.
+    """
     found: dict[str, list[str]] = {}
-    last: list[str] = []  # the state of each prefix of the path, shortest first
-    todo = [("", iter(root.items()))]
-    while todo:
-        prefix, children = todo[-1]
-        step = next(children, None)
-        if step is None:
-            todo.pop()
-            if last:
-                last.pop()
-            continue
-        letter, below = step
-        last.append(_state(prefix + letter, last, vocabulary))
-        if isinstance(below, dict):
-            todo.append((prefix + letter, iter(below.items())))
-            continue
-        tokens, end = [], len(last)
+    last: list[tuple[str, int]] = []  # the state of each prefix of the path, a token and its size
+    above = ""
+    for word in sorted(set(words)):
+        fork, most = 0, min(len(word), len(above)) - 1  # a last letter with the word end is one of its own
+        while fork < most and word[fork] == above[fork]:
+            fork += 1
+        del last[fork:]
+        _propagate(word, last, vocabulary)
+        tokens, end = [], len(word)
         while end:
-            tokens.append(last[end - 1])
-            end -= vocabulary.sizes[tokens[-1]]
-        found[below] = tokens[::-1]
-        last.pop()
+            token, size = last[end - 1]
+            tokens.append(token)
+            end -= size
+        tokens.reverse()
+        found[word] = tokens
+        above = word
     return found
 
 
-def _state(prefix: str, last: list[str], vocabulary: Vocabulary) -> str:
-    """The last token of the encoding of a prefix, from the states of the shorter ones."""
-    candidates = []
-    for start in range(len(prefix) - 1, -1, -1):
-        token = prefix[start:]
-        if token not in vocabulary.endings:
-            break
-        if token in vocabulary.ids:
-            candidates.append(token)
-    for token in reversed(candidates):
-        before = len(last) + 1 - vocabulary.sizes[token]
-        if vocabulary.stands(token) and (not before or vocabulary.follows(last[before - 1], token)):
-            return token
-    raise ValueError(f"no token ends {prefix!r}")
+def _propagate(word: str, last: list[tuple[str, int]], vocabulary: Vocabulary) -> None:
+    """Add the states of a word's prefixes that ``last`` lacks, the whole word's at the end."""
+    known, inner = len(last), len(word) - 1
+    final = inner + len(END)
+    pairs = vocabulary.pairs
+    for place, (token, size, ends) in vocabulary.endings.iter(word + END):
+        if place != known or place >= inner:
+            if place != final or not ends or known != inner:
+                continue  # known from the words before or from a longer token, or inside the word end
+            place = inner
+        before = place + 1 - size
+        if before:
+            left = last[before - 1][0]
+            follows = pairs.get((left, token))
+            if follows is None:
+                follows = vocabulary.follows(left, token)
+        else:
+            follows = vocabulary.stands(token)
+        if follows:
+            last.append((token, size))
+            known += 1
+    if known != len(word):
+        raise ValueError(f"no token ends {word[:known + 1]!r}")
 
 
 class Coder:
@@ -189,32 +193,42 @@ class Coder:
             return [p for p in SPACES.split(text) if p]
         return text.split()
 
-    def words(self, piece: str) -> list[str]:
-        """A piece's words in byte letters."""
-        if FOREIGN.search(piece):
-            return [w for w, _ in self.splitter.pre_tokenize_str(piece)]
-        if piece.isascii() and piece.isprintable():
-            return WORD.findall(piece)
-        return [w.encode().decode("latin-1").translate(self.letters) for w in WORD.findall(piece)]
-
     def learn(self, pieces: set[str]) -> None:
-        """Add the encodings of new pieces to the memo: their distinct words go into one trie."""
+        """Add the encodings of new pieces to the memo: their distinct words go into one trie.
+
+        A word is a piece too, so a word with a mark behind it uses what is known of the word.
+        """
         new = pieces.difference(self.memo)
         if len(self.memo) + len(new) > CACHED:
             self.memo.clear()
             new = pieces
-        vocabulary = self.vocabulary
-        split = {p: self.words(p) for p in new if p not in vocabulary.special}
-        words = encode_words({w for found in split.values() for w in found}, vocabulary)
-        written = {w: (" ".join([str(vocabulary.ids[t]) for t in tokens]), " ".join(tokens)) for w, tokens in words.items()}
+        special, letters = self.vocabulary.special, self.letters
+        split: dict[str, list[str]] = {}
+        unknown: dict[str, str] = {}  # a new word in byte letters -> the word
+        foreign: dict[str, list[str]] = {}  # pieces that the library splits, in byte letters
         for piece in new:
-            if piece in vocabulary.special:
-                self.memo[piece] = (str(vocabulary.special[piece]), piece)
-            elif len(split[piece]) == 1:
-                self.memo[piece] = written[split[piece][0]]
-            else:
-                both = [written[w] for w in split[piece]]
-                self.memo[piece] = (" ".join([i for i, _ in both]), " ".join([t for _, t in both]))
+            if piece in special:
+                self.memo[piece] = (str(special[piece]), piece)
+                continue
+            if FOREIGN.search(piece):
+                foreign[piece] = [w for w, _ in self.splitter.pre_tokenize_str(piece)]
+                continue
+            words = split[piece] = WORD.findall(piece)
+            for word in words:
+                if word not in self.memo:
+                    plain = word.isascii() and word.isprintable()
+                    unknown[word if plain else word.encode().decode("latin-1").translate(letters)] = word
+        found = encode_words(unknown.keys() | {w for words in foreign.values() for w in words}, self.vocabulary)
+        ids = self.vocabulary.ids
+        written = {w: (" ".join([str(ids[t]) for t in tokens]), " ".join(tokens)) for w, tokens in found.items()}
+        self.memo.update((word, written[lettered]) for lettered, word in unknown.items())
+        for piece, words in split.items():
+            if len(words) > 1:
+                self.memo[piece] = _joined([self.memo[w] for w in words])
+            elif not words:
+                self.memo[piece] = ("", "")
+        for piece, words in foreign.items():
+            self.memo[piece] = _joined([written[w] for w in words])
 
     def encode(self, texts: list[str]) -> list[tuple[str, str]]:
         """(ids in decimal, decoded text) of each text. The vocabulary's file names no
@@ -223,11 +237,14 @@ class Coder:
         self.learn(set().union(*cut))
         out = []
         for pieces in cut:
-            both = [self.memo[p] for p in pieces]
-            out.append((" ".join([i for i, _ in both]), " ".join([t for _, t in both])))
+            out.append(_joined([self.memo[p] for p in pieces]))
         return out
 
 
+def _joined(parts: list[tuple[str, str]]) -> tuple[str, str]:
+    return " ".join([i for i, _ in parts]), " ".join([t for _, t in parts])
+
+
 def portions(texts: list[str], size: int = 4_000_000) -> Iterator[list[str]]:
     """Texts in order, so many characters at once that the memory of a task stays bounded."""
     held, total = [], 0
