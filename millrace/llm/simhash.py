@@ -227,11 +227,10 @@ def keep_one(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: s
     ids = groups.groupBy("doc_id").agg(
         F.count("*").alias("rows"), F.min(F.col("component_id") == F.col("doc_id")).alias("stays")
     ).where("stays").checkpoint()
-    key = F.col(id_col).cast("long") == F.col("_kept_id")
-    single = ids.where("rows = 1").select(F.col("doc_id").alias("_kept_id"))
-    repeated = ids.where("rows > 1").select(F.col("doc_id").alias("_kept_id"))
+    own = docs[id_col].cast("long")
+    single, repeated = ids.where("rows = 1").select("doc_id"), ids.where("rows > 1").select("doc_id")
     return (
-        docs.join(single, key, "left_semi")
-        .unionByName(docs.join(repeated, key, "left_semi").dropDuplicates([id_col]))
-        .unionByName(docs.where(F.col(id_col).isNull()))
+        docs.join(single, own == single["doc_id"], "left_semi")
+        .unionByName(docs.join(repeated, own == repeated["doc_id"], "left_semi").dropDuplicates([id_col]))
+        .unionByName(docs.where(docs[id_col].isNull()))
     )

@@ -50,6 +50,8 @@ class Classifier:
 
     def score(self, text: bytes) -> float:
         weights = self.weights
+        if not weights and self.bias == -np.inf:
+            return 0.0
         total = self.bias + sum([weights[w] for w in weights.keys() & features(text)])
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
