@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.tables import attribute, plain
-from ..functions.vectors import array_to_vector
+from ..functions.vectors import array_to_vector, vector_to_array
 from ..operators import feature, fpm, recommendation
 from ..plans import recommend, similarity
 from ..plans.verbs import find_frequent_sequential_patterns
@@ -227,12 +227,28 @@ def nearest_vectors(spark, sf):
     return out.select("vec_id", rounded("distCol").alias("distance"))
 
 
-@query()
+@query("""
+WITH f AS (SELECT min(vec_id) AS id, count(*) AS n, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding),
+p AS (SELECT a.id AS id_a, b.id AS id_b, a.n AS copies_a, b.n AS copies_b,
+             sqrt(list_sum([pow(a.v[i] - b.v[i], 2) FOR i IN range(1, 65)])) AS distance FROM f a JOIN f b ON a.id < b.id)
+SELECT id_a, id_b, copies_a, copies_b, round(distance, 6) AS distance FROM p WHERE distance < 1.15""")
 def similar_vectors(spark, sf):
-    """Pairs of vectors closer than 1.15 that meet in a bucket."""
+    """All pairs of distinct vectors closer than 1.15."""
     df = table(spark, sf, "embeddings", ["vec_id", "embedding"])
-    vectors = df.select("vec_id", array_to_vector("embedding").alias("features"))
+    return round_all(similarity.distance_join(df, "vec_id", "embedding", 1.15), ["distance"])
+
+
+@query("SELECT 0::BIGINT AS wrong_distances, 0::BIGINT AS unordered, true AS some_found")
+def bucketed_similarity_join(spark, sf):
+    """The hashing model's own join: a part of the pairs, with exact distances."""
+    df = embedded(spark, sf)
     op = feature.bucketed_random_projection_lsh(
         input_col="features", output_col="hashes", bucket_length=0.2, num_hash_tables=12, seed=SEED
     )
-    return similarity.euclidean_join(op.fit(vectors), df, "vec_id", "embedding", 1.15, rows_per_band=2)
+    pairs = similarity.similarity_join(op.fit(df), df, df, 1.15).where("datasetA.vec_id < datasetB.vec_id")
+    a, b = vector_to_array("datasetA.features"), vector_to_array("datasetB.features")
+    exact = F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: F.pow(x - y, 2)), F.lit(0.0), lambda s, x: s + x))
+    return pairs.select(exact.alias("exact"), "distCol").agg(
+        F.count_if(F.abs(F.col("exact") - F.col("distCol")) > 1e-9).alias("wrong_distances"),
+        F.count_if(F.col("exact") >= 1.15).alias("unordered"), (F.count("*") > 0).alias("some_found"),
+    )

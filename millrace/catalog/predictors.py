@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.tables import attribute, trees
 from ..functions.vectors import assemble, components, vector_to_array
 from ..operators import classification, feature, regression
+from ..plans.curves import by_threshold, precision_recall, roc, score_counts
 from ..plans.scoring import columns, score
 from ..plans.verbs import evaluate_model, pipeline, summary
 from ..session import checkpoint_root, scratch_path
@@ -558,33 +559,29 @@ def _curves(spark, sf):
         F.col("quality").cast("double").alias("label"), (F.col("n_chars") / 1000.0).alias("x")
     )
     model = classification.logistic_regression(max_iter=100).fit(assemble(df, ["x"], keep=["label"]))
-    return summary(model)
+    # by the margin: probabilities of far scores may round to the same number
+    return score_counts(score(model, df, ["x"], ["label"]), "rawPrediction_1", "label")
 
 
 @query(CURVE_SQL + """
 SELECT round(fp / nn, 6) AS "FPR", round(tp / pp, 6) AS "TPR" FROM c UNION ALL SELECT 0, 0 UNION ALL SELECT 1, 1""")
 def roc_curve(spark, sf):
-    return round_all(attribute(_curves(spark, sf), "roc"), ["FPR", "TPR"])
+    return round_all(roc(_curves(spark, sf)), ["FPR", "TPR"])
 
 
 @query(CURVE_SQL + """
 SELECT round(tp / pp, 6) AS recall, round(tp / (tp + fp), 6) AS precision FROM c
 UNION ALL SELECT 0, (SELECT round(tp / (tp + fp), 6) FROM c ORDER BY tp + fp LIMIT 1)""")
 def precision_recall_curve(spark, sf):
-    return round_all(attribute(_curves(spark, sf), "pr"), ["recall", "precision"])
+    return round_all(precision_recall(_curves(spark, sf)), ["recall", "precision"])
 
 
 @query(CURVE_SQL + """
 SELECT round(coalesce(2 * tp / nullif(2 * tp + fp + pp - tp, 0), 0), 6) AS f_measure, round(tp / (tp + fp), 6) AS precision,
        round(tp / pp, 6) AS recall FROM c""")
 def threshold_curves(spark, sf):
-    """F-measure, precision and recall at every score, joined on the score."""
-    s = _curves(spark, sf)
-    f = attribute(s, "f_measure_by_threshold").withColumnRenamed("F-Measure", "f_measure")
-    p = attribute(s, "precision_by_threshold")
-    r = attribute(s, "recall_by_threshold")
-    out = f.join(p, "threshold").join(r, "threshold").select("f_measure", "precision", "recall")
-    return round_all(out, ["f_measure", "precision", "recall"])
+    """F-measure, precision and recall at every score."""
+    return round_all(by_threshold(_curves(spark, sf)).drop("threshold"), ["f_measure", "precision", "recall"])
 
 
 # staged -------------------------------------------------------------------------------

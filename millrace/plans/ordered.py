@@ -16,20 +16,16 @@ from ..session import checkpoint_root
 
 
 def running_totals(
-    df: DataFrame, order: Sequence[Column], totals: dict[str, str | Column], small: int = 100_000
+    df: DataFrame, order: Sequence[Column], totals: dict[str, str | Column]
 ) -> DataFrame:
     """``df`` plus one column per entry of ``totals``: the sum up to and with the row.
 
     ``order`` must identify rows uniquely (aggregate equal keys first): unique keys are
-    what lets the range partitioner balance them, however skewed the raw rows were. A
-    table of at most ``small`` rows, counted, is summed by a plain window.
+    what lets the range partitioner balance them, however skewed the raw rows were.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     rows = df.select("*", *[_column(v).alias(f"_add_{n}") for n, v in totals.items()]).checkpoint()
-    if rows.limit(small + 1).count() <= small:
-        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return rows.select(*df.columns, *[F.sum(f"_add_{n}").over(upto).alias(n) for n in totals])
     parts = (
         rows.repartitionByRange(*order)
         .withColumn("_part", F.spark_partition_id())
@@ -50,13 +46,13 @@ def running_totals(
     )
 
 
-def average_ranks(df: DataFrame, columns: Sequence[str], small: int = 100_000) -> DataFrame:
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(idx, value, rank): the mean rank of each distinct value of each column, equal
     values sharing theirs. One pass over the rows; what is ordered is their distinct
     values with counts, so a value that fills a third of the rows is one row of it."""
     cells = F.array(*[F.struct(F.lit(i).alias("idx"), F.col(c).alias("value")) for i, c in enumerate(columns)])
     counted = df.select(F.inline(cells)).groupBy("idx", "value").agg(F.count("*").alias("_n"))
-    upto = running_totals(counted, [F.col("idx"), F.col("value")], {"_upto": "_n"}, small)
+    upto = running_totals(counted, [F.col("idx"), F.col("value")], {"_upto": "_n"})
     # the totals run on from column to column; each begins where the one before ended
     starts = upto.groupBy("idx").agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"))
     rank = F.col("_upto") - F.col("_start") - (F.col("_n") - 1) / 2.0

@@ -4,12 +4,17 @@ A model's own ``transform`` packs numbers into a vector and calls a function per
 Where the scoring rule is closed form, ``columns(model, inputs)`` writes it over the raw
 numeric columns instead, so it runs inside generated code, filters push past it and only
 the columns it names are read. ``inputs`` are in the order they were assembled in.
+
+A null input gives null outputs where ``transform`` refuses it, so does NaN; else both give
+what ``transform`` gives. Expressions grow with classes times inputs: a classifier of many of both
+(640 products, say) is better scored with ``form="vector"``, the model's own transform with
+its outputs unpacked to the same columns. Which form runs is the caller's choice alone.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
@@ -17,6 +22,7 @@ from pyspark.ml import classification as cls
 from pyspark.ml import clustering as clu
 from pyspark.ml import feature as fea
 from pyspark.ml import regression as reg
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +35,58 @@ def columns(model: Any, inputs: Inputs) -> dict[str, Column]:
     for kind, rule in _RULES:
         if isinstance(model, kind):
             return rule(model, xs)
+    for kind, rule in _STAGED:
+        if isinstance(model, kind):
+            return rule(model, xs, list)
     raise TypeError(f"{type(model).__name__} has no column form; use transform")
 
 
-def score(model: Any, df: DataFrame, inputs: Inputs, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` plus the scored columns; one projection over the scan."""
-    out = columns(model, inputs)
-    return df.select(*keep, *[c.alias(n) for n, c in out.items()])
+def score(
+    model: Any, df: DataFrame, inputs: Inputs, keep: Sequence[str] = (), form: str = "columns"
+) -> DataFrame:
+    """``keep`` plus the scored columns, as expressions over the scan or (``form="vector"``)
+    by the model's transform. Classifiers and clusterers name their raw values once, in a
+    projection below, and refer to them, so their plans grow with classes times inputs."""
+    if form == "vector":
+        return _by_transform(model, df, inputs, keep)
+    if form != "columns":
+        raise ValueError("form must be columns or vector")
+    for kind, rule in _STAGED:
+        if isinstance(model, kind):
+            break
+    else:
+        return df.select(*keep, *[c.alias(n) for n, c in columns(model, inputs).items()])
+    frame, count = df, 0
+
+    def named(values: Sequence[Column]) -> list[Column]:
+        nonlocal frame, count
+        names = [f"_held_{count + i}" for i in range(len(values))]
+        count += len(values)
+        frame = frame.select("*", *[v.alias(n) for v, n in zip(values, names)])
+        return [F.col(n) for n in names]
+
+    out = rule(model, [(F.col(x) if isinstance(x, str) else x).cast("double") for x in inputs], named)
+    return frame.select(*keep, *[c.alias(n) for n, c in out.items()])
+
+
+def _by_transform(model: Any, df: DataFrame, inputs: Inputs, keep: Sequence[str]) -> DataFrame:
+    from ..functions.vectors import vector_to_array
+
+    xs = [(F.col(x) if isinstance(x, str) else x).cast("double") for x in inputs]
+    packed = df.select(*keep, array_to_vector(F.array(*xs)).alias(model.getFeaturesCol()))
+    done = model.transform(packed)
+    out = [F.col(model.getPredictionCol())]
+    for name in ("probabilityCol", "rawPredictionCol"):
+        if model.hasParam(name):
+            column = model.getOrDefault(name)
+            array = vector_to_array(column)
+            out += [array[i].alias(f"{column}_{i}") for i in range(model.numClasses)]
+    return done.select(*keep, *out)
+
+
+def _over(x: Column, limit: float) -> Column:
+    """1.0 above the limit, else 0.0; NaN is not above, null stays null."""
+    return F.when(x.isNull(), F.lit(None).cast("double")).when(~F.isnan(x) & (x > F.lit(limit)), 1.0).otherwise(0.0)
 
 
 def dot(weights: Sequence[float], xs: Sequence[Column], start: float | None = None) -> Column:
@@ -123,7 +174,8 @@ def _outputs(m, n):
 def _binarize(m, xs):
     limits = m.getThresholds() if m.isSet("thresholds") else [m.getThreshold()] * len(xs)
     return {
-        name: F.when(x > F.lit(t), 1.0).otherwise(0.0)
+        # as transform does, null is not above
+        name: F.when(~F.isnan(x) & (x > F.lit(float(t))), 1.0).otherwise(0.0)
         for name, x, t in zip(_outputs(m, len(xs)), xs, limits)
     }
 
@@ -189,50 +241,53 @@ def _glm(m, xs):
 def _svc(m, xs):
     margin = dot(m.coefficients, xs, m.intercept)
     return {
-        m.getPredictionCol(): F.when(margin > F.lit(m.getThreshold()), 1.0).otherwise(0.0),
+        m.getPredictionCol(): _over(margin, m.getThreshold()),
         f"{m.getRawPredictionCol()}_0": -margin,
         f"{m.getRawPredictionCol()}_1": margin,
     }
 
 
-def _argmax(values: Sequence[Column]) -> Column:
-    top = F.greatest(*values)
-    branch = F.when(values[0] == top, 0.0)
+def _argmax(values: Sequence[Column], named: Callable) -> Column:
+    """The place of the first largest value. NaN first gives 0, NaN elsewhere never wins."""
+    first, *_ = values
+    values = named([F.nanvl(v, F.lit(-math.inf)) for v in values])
+    (top,) = named([F.greatest(*values)])
+    branch = F.when(top.isNull(), F.lit(None).cast("double")).when(F.isnan(first) | (values[0] == top), 0.0)
     for i, v in enumerate(values[1:-1], start=1):
         branch = branch.when(v == top, float(i))
     return branch.otherwise(float(len(values) - 1))
 
 
-def _softmax(raw: Sequence[Column]) -> list[Column]:
-    top = F.greatest(*raw)
-    powers = [F.exp(r - top) for r in raw]
-    total = reduce(lambda a, b: a + b, powers)
-    return [p / total for p in powers]
+def _softmax(raw: Sequence[Column], named: Callable) -> list[Column]:
+    (top,) = named([F.greatest(*raw)])
+    powers = named([F.exp(r - top) for r in raw])
+    (total,) = named([reduce(lambda a, b: a + b, powers)])
+    return named([p / total for p in powers])
 
 
-def _thresholded(m, probabilities):
+def _thresholded(m, probabilities, named):
     if not m.isSet("thresholds"):
-        return _argmax(probabilities)
+        return _argmax(probabilities, named)
     # a zero threshold always wins, as an infinite ratio does
-    return _argmax([
+    return _argmax(named([
         p / F.lit(float(t)) if t > 0 else F.lit(math.inf) for p, t in zip(probabilities, m.getThresholds())
-    ])
+    ]), named)
 
 
-def _logistic(m, xs):
+def _logistic(m, xs, named):
     if m.numClasses == 2 and m.coefficientMatrix.numRows == 1:
-        margin = dot(m.coefficients, xs, m.intercept)
-        up = 1.0 / (1.0 + F.exp(-margin))
+        (margin,) = named([dot(m.coefficients, xs, m.intercept)])
+        (up,) = named([1.0 / (1.0 + F.exp(-margin))])
         probabilities, raw = [1.0 - up, up], [-margin, margin]
         if m.isSet("thresholds"):
-            prediction = _thresholded(m, probabilities)
+            prediction = _thresholded(m, probabilities, named)
         else:
-            prediction = F.when(up > F.lit(m.getThreshold()), 1.0).otherwise(0.0)
+            prediction = _over(up, m.getThreshold())
     else:
         weights = m.coefficientMatrix.toArray()
-        raw = [dot(weights[k], xs, m.interceptVector[k]) for k in range(m.numClasses)]
-        probabilities = _softmax(raw)
-        prediction = _thresholded(m, probabilities) if m.isSet("thresholds") else _argmax(raw)
+        raw = named([dot(weights[k], xs, m.interceptVector[k]) for k in range(m.numClasses)])
+        probabilities = _softmax(raw, named)
+        prediction = _thresholded(m, probabilities, named) if m.isSet("thresholds") else _argmax(raw, named)
     return {
         m.getPredictionCol(): prediction,
         **_vector(m.getProbabilityCol(), probabilities),
@@ -240,29 +295,28 @@ def _logistic(m, xs):
     }
 
 
-def _bayes(m, xs):
-    if m.getModelType() not in ("multinomial", "complement"):
+def _bayes(m, xs, named):
+    if m.getModelType() != "multinomial":
         raise TypeError(f"a {m.getModelType()} model has no column form; use transform")
     theta, prior = m.theta.toArray(), m.pi.toArray()
-    if m.getModelType() == "complement":
-        raise TypeError("a complement model has no column form; use transform")
-    raw = [dot(theta[k], xs, prior[k]) for k in range(m.numClasses)]
-    probabilities = _softmax(raw)
+    raw = named([dot(theta[k], xs, prior[k]) for k in range(m.numClasses)])
+    probabilities = _softmax(raw, named)
     return {
-        m.getPredictionCol(): _thresholded(m, probabilities),
+        m.getPredictionCol(): _thresholded(m, probabilities, named),
         **_vector(m.getProbabilityCol(), probabilities),
         **_vector(m.getRawPredictionCol(), raw),
     }
 
 
-def _nearest_center(m, xs):
+def _nearest_center(m, xs, named):
     if m.getDistanceMeasure() != "euclidean":
         raise TypeError("only euclidean distance has a column form; use transform")
-    distances = [
-        reduce(lambda a, b: a + b, [(x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(xs, center)])
+    distances = named([
+        -reduce(lambda a, b: a + b, [(x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(xs, center)])
         for center in m.clusterCenters()
-    ]
-    return {m.getPredictionCol(): _argmax([-d for d in distances]).cast("int")}
+    ])
+    # transform refuses NaN; here such a row has no cluster
+    return {m.getPredictionCol(): F.when(~F.isnan(distances[0]), _argmax(distances, named)).cast("int")}
 
 
 _RULES = [
@@ -284,6 +338,9 @@ _RULES = [
     (reg.AFTSurvivalRegressionModel, _aft),
     (reg.GeneralizedLinearRegressionModel, _glm),
     (cls.LinearSVCModel, _svc),
+]
+#: Rules that name what they use more than once.
+_STAGED = [
     (cls.LogisticRegressionModel, _logistic),
     (cls.NaiveBayesModel, _bayes),
     (clu.KMeansModel, _nearest_center),

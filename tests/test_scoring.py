@@ -139,3 +139,56 @@ def test_scored_plan_keeps_the_scan_narrow_and_generated(spark):
     assert "ReadSchema: struct<l_quantity:double,l_discount:double>" in plan
     assert "GreaterThan(l_quantity,10.0)" in plan
     assert "UDF" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("make", [
+    lambda: classification.linear_svc(label_col="half", max_iter=5),
+    lambda: classification.logistic_regression(label_col="half", max_iter=5),
+    lambda: classification.logistic_regression(label_col="third", max_iter=5),
+    lambda: classification.logistic_regression(label_col="third", max_iter=5, thresholds=[0.2, 0.5, 0.4]),
+])
+def test_nan_as_transform_and_null_stays_null(spark, features, make):
+    model = make().fit(features)
+    nan = float("nan")
+    odd = spark.createDataFrame([(nan, 1.0, 2.0), (1.0, nan, 2.0), (3.0, 4.0, nan)], ", ".join(f"{c} double" for c in INPUTS))
+    theirs = [r.prediction for r in model.transform(odd.select(vector_of(INPUTS).alias("features"))).collect()]
+    assert [r.prediction for r in score(model, odd, INPUTS).collect()] == theirs
+    null = spark.createDataFrame([(None, 1.0, 2.0)], odd.schema)
+    assert score(model, null, INPUTS).first().prediction is None
+
+
+def test_no_cluster_for_nan_and_null(spark, features):
+    model = clustering.k_means(k=4, seed=1).fit(features)
+    odd = spark.createDataFrame([(float("nan"), 1.0, 2.0), (None, 1.0, 2.0)], ", ".join(f"{c} double" for c in INPUTS))
+    assert [r.prediction for r in score(model, odd, INPUTS).collect()] == [None, None]
+
+
+def vector_of(names):
+    from pyspark.ml.functions import array_to_vector
+
+    return array_to_vector(F.array(*names))
+
+
+def test_binarizer_with_nan_and_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (2.0,), (None,)], "x double")
+    op = feature.binarizer(input_col="x", output_col="b", threshold=1.0)
+    assert [r.b for r in score(op, df, ["x"]).collect()] == [r.b for r in op.transform(df).collect()] == [0.0, 1.0, 0.0]
+
+
+@pytest.mark.parametrize("classes,width", [(3, 3), (10, 16), (10, 64)])
+def test_both_forms_agree_at_many_classes(spark, classes, width):
+    draw = np.random.default_rng(classes)
+    names = [f"x{i}" for i in range(width)]
+    rows = [(float(k % classes), *draw.normal(size=width).tolist()) for k in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in ["label", *names])).persist()
+    model = classification.logistic_regression(max_iter=3).fit(assemble(df, names, keep=["label"]))
+    wide = score(model, df, names, ["x0"]).orderBy("x0").collect()
+    theirs = score(model, df, names, ["x0"], form="vector").orderBy("x0").collect()
+    assert [r.prediction for r in wide] == [r.prediction for r in theirs]
+    np.testing.assert_allclose([tuple(r) for r in wide], [tuple(r) for r in theirs], rtol=1e-9)
+
+
+def test_unknown_form(spark):
+    df = spark.createDataFrame([(1.0,)], "x double")
+    with pytest.raises(ValueError, match="form"):
+        score(feature.binarizer(input_col="x", output_col="b"), df, ["x"], form="other")

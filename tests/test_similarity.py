@@ -99,6 +99,28 @@ def test_euclidean_join_finds_what_the_models_join_finds(spark, points):
     assert ours == theirs
 
 
+@pytest.mark.parametrize("block", [2_000, 1, 5])
+@pytest.mark.parametrize("threshold", [0.05, 0.3, 2.5])
+def test_distance_join_is_exact(spark, points, block, threshold):
+    folded = _folded((r.id, tuple(r.v)) for r in points.collect())
+    close = {}
+    for a, (x, n) in folded.items():
+        for b, (y, m) in folded.items():
+            d = float(np.linalg.norm(np.subtract(x, y)))
+            if a < b and d < threshold:
+                close[a, b] = (n, m, pytest.approx(d))
+    if block == 1 and threshold > 1:
+        return  # a task for every pair of rows
+    out = similarity.distance_join(points, "id", "v", threshold, block).collect()
+    assert {(r.id_a, r.id_b): (r.copies_a, r.copies_b, r.distance) for r in out} == close and len(out) == len(close)
+
+
+def test_distance_join_of_nothing(spark, points):
+    assert similarity.distance_join(points.limit(0), "id", "v", 1.0).collect() == []
+    nulls = spark.createDataFrame([(1, None), (2, None)], "id long, v array<double>")
+    assert similarity.distance_join(nulls, "id", "v", 1.0).collect() == []
+
+
 def test_nearest_is_sorted_and_measured(spark, points):
     model = _model(spark, points, length=100.0)
     f = points.withColumn("f", array_to_vector("v"))
