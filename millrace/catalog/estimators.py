@@ -7,7 +7,7 @@ from ..functions.vectors import assemble, components, explode_vector, sparse_ent
 from ..operators import feature
 from ..plans.scoring import score
 from ..plans.verbs import pipeline
-from ..session import scratch_path
+from ..session import checkpoint_root, scratch_path
 from ..sources import load, save, table
 from .inputs import KEYS, MEASURES, WORDS_SQL, embedded, line_vectors, lines, words
 from .registry import query, round_all, rounded
@@ -345,11 +345,19 @@ v AS (SELECT term, count(*) AS df, sum(tf)::DOUBLE AS total FROM t GROUP BY term
 """
 
 
+#: No cap on the vocabulary: as many terms as Spark can count.
+ALL_TERMS = 2**31 - 1
+
+
 def _counted(spark, sf):
-    """documents as term counts, with the fitted vocabulary of terms in five or more."""
-    df = words(spark, sf, some=True)
-    model = feature.count_vectorizer(input_col="words", output_col="tf", min_df=5.0).fit(df)
-    return model, model.transform(df).select("doc_id", "tf")
+    """documents as term counts, with the fitted vocabulary of all terms in five or more.
+
+    Counts are written once, so that what is fitted on them cuts no text again.
+    """
+    checkpoint_root(spark)
+    df = words(spark, sf)
+    model = feature.count_vectorizer(input_col="words", output_col="tf", min_df=5.0, vocab_size=ALL_TERMS).fit(df)
+    return model, model.transform(df).select("doc_id", "tf").checkpoint()
 
 
 @query(TERMS_SQL + "SELECT term, df, total FROM v")
@@ -372,11 +380,11 @@ def count_vectorizer_from_vocabulary(spark, sf):
     return model.transform(words(spark, sf)).select("doc_id", *components("tf", ["the", "la"]))
 
 
-@query(TERMS_SQL + """, n AS (SELECT count(DISTINCT doc_id) AS m FROM w),
+@query(TERMS_SQL + """, n AS (SELECT count(*) AS m FROM documents),
 k AS (SELECT doc_id, count(*) AS terms, sum(tf * ln((m + 1.0) / (df + 1.0))) AS weight
       FROM t JOIN v USING (term), n GROUP BY doc_id)
 SELECT doc_id, coalesce(terms, 0) AS terms, round(coalesce(weight, 0), 4) + 0.0 AS weight
-FROM (SELECT DISTINCT doc_id FROM w) LEFT JOIN k USING (doc_id)""")
+FROM documents LEFT JOIN k USING (doc_id)""")
 def idf(spark, sf):
     """Per document the number of kept terms and the sum of their tf-idf.
 

@@ -10,7 +10,7 @@ from ..operators import evaluation
 from ..plans import reports
 from ..plans.verbs import evaluate, larger_better
 from ..sources import table
-from .inputs import JUDGED_SQL, TYPE_RANKS_SQL, embedded, judged, type_ranks
+from .inputs import JUDGED_SQL, TYPE_RANKS_SQL, TYPE_SETS_SQL, embedded, judged, type_ranks
 from .registry import query, round_all
 
 def _each(make, metrics, df, label=None, **params):
@@ -118,7 +118,7 @@ def log_loss_report(spark, sf):
     return round_all(reports.log_loss(_with_probability(spark, sf), "p", weight="weight"), ["value"])
 
 
-MULTILABEL_SQL = TYPE_RANKS_SQL + """,
+MULTILABEL_SQL = TYPE_SETS_SQL + """,
 b AS (SELECT *, len(list_intersect(p, t))::DOUBLE AS b, len(p)::DOUBLE AS np, len(t)::DOUBLE AS nt FROM ranks),
 said AS (SELECT user_id, unnest(p) AS c FROM ranks), truth AS (SELECT user_id, unnest(t) AS c FROM ranks),
 cls AS (SELECT c, count(*)::DOUBLE AS actual, (SELECT count(*) FROM said s WHERE s.c = truth.c)::DOUBLE AS claimed,
@@ -145,7 +145,7 @@ VIEW = ord("v") * 1000.0 + len("view")
 
 def _label_sets(spark, sf):
     """Sorted, because the operator's subset accuracy compares arrays, not sets."""
-    return type_ranks(spark, sf).select(
+    return type_ranks(spark, sf, whole=True).select(
         F.array_sort("prediction").alias("prediction"), F.array_sort("label").alias("label")
     )
 
@@ -162,7 +162,7 @@ def multilabel_classification_evaluator(spark, sf):
 @query(MULTILABEL_SQL + MULTILABEL_WHOLE_SQL + " UNION ALL " + _union(
     MULTILABEL_BY, lambda n, e: f"SELECT '{n}', c, round({e}, 6) FROM cls"))
 def multilabel_report(spark, sf):
-    return round_all(reports.multilabel(type_ranks(spark, sf)), ["value"])
+    return round_all(reports.multilabel(type_ranks(spark, sf, whole=True)), ["value"])
 
 
 RANKING_SQL = TYPE_RANKS_SQL + """,

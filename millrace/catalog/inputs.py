@@ -101,9 +101,10 @@ def type_days(spark: SparkSession, sf: str) -> DataFrame:
     ).select("user_id", F.col("days.types").alias("sequence"))
 
 
-def type_ranks(spark: SparkSession, sf: str) -> DataFrame:
+def type_ranks(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
     """Per user the most frequent event types of each half month, in order: three of the
-    first half as the prediction, two of the second as the label."""
+    first half as the prediction, two of the second as the label (a ranking's top-k), or
+    the ``whole`` sets."""
     counted = (
         table(spark, sf, "events", ["user_id", "ts", "event_type"])
         .groupBy("user_id", "event_type")
@@ -119,9 +120,9 @@ def type_ranks(spark: SparkSession, sf: str) -> DataFrame:
         entries = F.collect_list(F.when(F.col(count) > 0, F.struct((-F.col(count)).alias("c"), F.col("item"))))
         return F.transform(F.sort_array(entries), lambda e: e["item"])
 
+    top = (lambda c, n: c) if whole else (lambda c, n: F.slice(c, 1, n))
     return counted.groupBy("user_id").agg(
-        F.slice(ordered("before"), 1, 3).alias("prediction"),
-        F.slice(ordered("after"), 1, 2).alias("label"),
+        top(ordered("before"), 3).alias("prediction"), top(ordered("after"), 2).alias("label")
     )
 
 
@@ -138,6 +139,8 @@ ranks AS (
   FROM c GROUP BY user_id)
 """
 
+TYPE_SETS_SQL = TYPE_RANKS_SQL.replace("[1:3]", "").replace("[1:2]", "")
+
 
 def judged(spark: SparkSession, sf: str) -> DataFrame:
     """labels with a fixed rule as the prediction: label, prediction, score, weight."""

@@ -6,7 +6,7 @@ from ..functions.tables import attribute
 from ..functions.vectors import assemble
 from ..operators import feature
 from ..sources import table
-from .estimators import TERMS_SQL, _counted, _line_gaps
+from .estimators import ALL_TERMS, TERMS_SQL, _counted, _line_gaps
 from .inputs import MEASURES, line_vectors, words
 from .registry import query, round_all, rounded
 
@@ -52,7 +52,7 @@ def robust_scaler_state(spark, sf):
     return round_all(_joined(model, "median", "range"), ["range"], 9)
 
 
-@query(TERMS_SQL + """, n AS (SELECT count(DISTINCT doc_id) AS m FROM w)
+@query(TERMS_SQL + """, n AS (SELECT count(*) AS m FROM documents)
 SELECT term, df AS doc_freq, round(ln((m + 1.0) / (df + 1.0)), 8) + 0.0 AS idf, m AS num_docs FROM v, n""")
 def idf_state(spark, sf):
     counter, counted = _counted(spark, sf)
@@ -124,5 +124,6 @@ def r_formula_resolved(spark, sf):
 
 @query(TERMS_SQL + "SELECT term FROM v")
 def count_vectorizer_vocabulary(spark, sf):
-    model = feature.count_vectorizer(input_col="words", output_col="tf", min_df=5.0).fit(words(spark, sf))
+    op = feature.count_vectorizer(input_col="words", output_col="tf", min_df=5.0, vocab_size=ALL_TERMS)
+    model = op.fit(words(spark, sf))
     return attribute(model, "vocabulary").select(F.col("value").alias("term"))

@@ -38,9 +38,11 @@ def rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Spearman over plain columns as (i, j, value), made for heavily tied data.
 
     Ranks come from the distinct values with their counts, so a value held by a third of
-    the rows is one row of the ranking; the table itself is never sorted.
+    the rows is one row of the ranking; the table itself is never sorted. A null is
+    refused, as it is in a vector.
     """
-    ranked = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    refused = F.raise_error(F.lit("rank correlation of a null value")).cast("double")
+    ranked = df.select(*[F.coalesce(F.col(c).cast("double"), refused).alias(c) for c in columns])
     ranks = average_ranks(ranked, columns).checkpoint()
     for i, c in enumerate(columns):
         own = ranks.filter(F.col("idx") == i).select(F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}"))

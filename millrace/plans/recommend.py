@@ -1,54 +1,64 @@
 """Top-n recommendations from fitted factors.
 
-Scoring every user against every item is a matrix product. When the item matrix has at
-most ``cells`` numbers (counted first; the default is 80 MB) each task multiplies its users
-by the broadcast matrix and keeps its top n: one pass over the users, no shuffle. Above
-that the model's own blocked product is used.
+Scoring every user against every item is a matrix product. The other side is cut into
+blocks of at most ``cells`` numbers (80 MB by default, counted first), each is broadcast,
+and every task multiplies its users by it and keeps its top n. With one block that is one
+pass without a shuffle; with more, the n best of each block meet and the n best stay.
+Equal ratings go to the smaller id, however many blocks there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 CELLS = 20_000_000
 SCHEMA = "id int, rank int, other int, rating float"
 
 
 def recommend_items(model: Any, n: int, users: DataFrame | None = None, cells: int = CELLS) -> DataFrame:
-    """(id, rank, other, rating): the n best items of each user; ``users`` limits to its ids."""
-    factors = model.userFactors
-    if users is not None:
-        factors = factors.join(users.select(users[users.columns[0]].alias("id")).distinct(), "id", "left_semi")
-    whole = model.recommendForAllUsers if users is None else None
-    subset = None if users is None else (
-        lambda k: model.recommendForUserSubset(users.toDF(*[model.getUserCol()]), k)
-    )
-    return _best(factors, model.itemFactors, n, cells // model.rank, whole or subset)
+    """(id, rank, other, rating): the n best items of each user; ``users`` limits to the ids
+    in its first column."""
+    return _best(_some(model.userFactors, users), model.itemFactors, n, cells // model.rank)
 
 
 def recommend_users(model: Any, n: int, items: DataFrame | None = None, cells: int = CELLS) -> DataFrame:
-    """(id, rank, other, rating): the n best users of each item."""
-    factors = model.itemFactors
-    if items is not None:
-        factors = factors.join(items.select(items[items.columns[0]].alias("id")).distinct(), "id", "left_semi")
-    whole = model.recommendForAllItems if items is None else None
-    subset = None if items is None else (
-        lambda k: model.recommendForItemSubset(items.toDF(*[model.getItemCol()]), k)
-    )
-    return _best(factors, model.userFactors, n, cells // model.rank, whole or subset)
-
-
-def _best(queries: DataFrame, targets: DataFrame, n: int, limit: int, blocked) -> DataFrame:
-    if targets.limit(limit + 1).count() > limit:
-        return _flat(blocked(n))
+    """(id, rank, other, rating): the n best users of each item; ``items`` limits to the ids
+    in its first column."""
+    return _best(_some(model.itemFactors, items), model.userFactors, n, cells // model.rank)
+
+
+def _some(factors: DataFrame, ids: DataFrame | None) -> DataFrame:
+    if ids is None:
+        return factors
+    return factors.join(ids.select(ids[ids.columns[0]].alias("id")).distinct(), "id", "left_semi")
+
+
+def _best(queries: DataFrame, targets: DataFrame, n: int, limit: int) -> DataFrame:
+    count = max(1, -(-targets.count() // max(1, limit)))
+    block = F.pmod(F.xxhash64("id"), F.lit(count))
+    found = [_product(queries, targets.where(block == b), n) for b in range(count)]
+    if count == 1:
+        return found[0]
+    best = Window.partitionBy("id").orderBy(F.desc("rating"), "other")
+    met = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(best))
+    return met.where(F.col("rank") <= n).select("id", "rank", "other", "rating")
+
+
+def _factors(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(column), -1)
+
+
+def _product(queries: DataFrame, targets: DataFrame, n: int) -> DataFrame:
     rows = targets.orderBy("id").toArrow()
     ids = rows.column("id").to_numpy().astype(np.int32)
-    matrix = np.stack(rows.column("features").to_pylist()).astype(np.float32).T if len(ids) else None
+    matrix = _factors(rows.column("features").combine_chunks()).T if len(ids) else None
     shared = queries.sparkSession.sparkContext.broadcast((ids, matrix))
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +70,7 @@ def _best(queries: DataFrame, targets: DataFrame, n: int, limit: int, blocked) -
         step = max(1, 16_000_000 // len(names))
         for batch in batches:
             who = batch.column("id").to_numpy().astype(np.int32)
-            left = np.asarray(batch.column("features").to_pylist(), dtype=np.float32)
+            left = _factors(batch.column("features"))
             for start in range(0, len(who), step):
                 scores = left[start:start + step] @ right
                 # best first, equal scores by smaller id (ids ascend)
@@ -77,10 +87,3 @@ def _best(queries: DataFrame, targets: DataFrame, n: int, limit: int, blocked) -
                 )
 
     return queries.select("id", "features").mapInArrow(top, SCHEMA)
-
-
-def _flat(nested: DataFrame) -> DataFrame:
-    who, recs = nested.columns
-    out = nested.selectExpr(f"{who} AS id", f"posexplode({recs}) AS (pos, r)")
-    other = [f.name for f in out.schema["r"].dataType if f.name != "rating"][0]
-    return out.selectExpr("id", "pos + 1 AS rank", f"r.{other} AS other", "r.rating AS rating")

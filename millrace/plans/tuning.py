@@ -59,7 +59,7 @@ def mean_and_spread(values: Sequence[float]) -> tuple[float, float]:
     largest = max(abs(v) for v in values)
     if largest == 0.0 or min(values) == max(values):
         return float(values[0]), 0.0
-    scale = 2.0 ** math.frexp(largest)[1]
+    scale = 2.0 ** (math.frexp(largest)[1] - 1)  # itself no overflow at any metric
     scaled = np.asarray(values, dtype=float) / scale
     return float(scaled.mean() * scale), float(scaled.std() * scale)
 

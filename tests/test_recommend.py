@@ -44,12 +44,22 @@ def test_subsets(spark, model):
     assert len(recommend_users(model, 3, items).collect()) == 3
 
 
-def test_too_many_targets_use_the_blocked_product(spark, model):
-    assert _flat(recommend_items(model, 4, cells=9)) == {
-        k: (o, pytest.approx(r, rel=1e-4)) for k, (o, r) in _spark(model.recommendForAllUsers(4)).items()}
-    some = spark.createDataFrame([(3,)], "user int")
+def test_blocks_give_what_one_product_gives(spark, model):
+    assert _flat(recommend_items(model, 4, cells=9)) == _flat(recommend_items(model, 4))
+    some = spark.createDataFrame([(3, "x")], "who int, more string")
+    assert _flat(recommend_items(model, 2, some, cells=9)) == _flat(recommend_items(model, 2, some))
     assert len(recommend_items(model, 2, some, cells=9).collect()) == 2
 
 
+def test_equal_ratings_go_to_the_smaller_id(spark):
+    class Fixed:
+        rank = 1
+        userFactors = spark.createDataFrame([(1, [1.0])], "id int, features array<float>")
+        itemFactors = spark.createDataFrame([(i, [2.0]) for i in (9, 4, 7, 2)], "id int, features array<float>")
+
+    for cells in (1, 2, 100):
+        assert [r.other for r in recommend_items(Fixed, 3, cells=cells).orderBy("rank").collect()] == [2, 4, 7]
+
+
 def test_asking_for_more_than_there_are(model):
     assert recommend_items(model, 50).count() == 30 * 12

@@ -99,3 +99,9 @@ def test_array_functions(spark):
     assert narrow.dtypes == [("a", "array<float>")] and narrow.first().a[0] == pytest.approx(0.1, abs=1e-7)
     with pytest.raises(Exception):
         vector.select(vector_to_array("v", "int8")).collect()
+
+
+def test_rank_correlation_refuses_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (2.0, 1.0)], "a double, b double")
+    with pytest.raises(Exception, match="null value"):
+        stats.rank_correlation(df, ["a", "b"]).collect()

@@ -166,3 +166,10 @@ def test_other_estimators_search_too(spark, vectors):
                             evaluation.multiclass_classification_evaluator(metric_name="accuracy"),
                             num_folds=2, fold_col="fold").fit(vectors.withColumn("fold", F.col("idx").cast("int")))
     assert model.best == 0
+
+
+def test_spread_at_the_edge_of_doubles():
+    from millrace.plans.tuning import mean_and_spread
+
+    mean, spread = mean_and_spread([2.0**1023, 1.5 * 2.0**1022])
+    assert mean == 1.75 * 2.0**1022 and spread == 0.25 * 2.0**1022
