@@ -10,8 +10,8 @@ folded into their fingerprint first.
 Copies with a few words changed lie further apart than that. ``copies=True`` finds them too
 by the same means: a wide fingerprint of 256 bits over the distinct word pairs of a text is
 dealt out in eight tables of 32 bits, texts that come within 2 bits of each other in one of
-them meet on a variant, and of those within ``NEAR`` of the 256 bits the ones that share at
-least ``SIMILAR`` of their five-word shingles are linked.
+them meet on a variant, and of those whose 64-bit fingerprints lie within ``NEAR`` bits the
+ones that share at least ``SIMILAR`` of their five-word shingles are linked.
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ SEED = 42
 LONGS, TABLE = 4, 32
 #: Jaccard similarity of near copies, on shingles of so many words.
 SIMILAR, SHINGLE = 0.8, 5
-#: Differing wide bits beyond which no near copy lies: those of the test tables differ in 34 at
-#: most, 25 on average, and unrelated texts in 95 or more. It only saves comparing texts.
-NEAR = 45
+#: Differing bits of the 64 beyond which no near copy lies: texts that similar differ in 7 on
+#: average (deviation 2.6; 14 at most in the test tables). It only saves comparing texts.
+NEAR = 16
 #: So many ids are broadcast to find the texts to compare (16 MB); more are joined by shuffle.
 BROADCAST = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -161,8 +161,9 @@ def similar(links: DataFrame, firsts: DataFrame, texts: DataFrame, size: int = 3
 def copy_links(prints: DataFrame) -> DataFrame:
     """``(a, b)``: links between fingerprints of ``prints(fp, wide)`` that may be near copies.
 
-    Those who meet on a variant of a table are linked to the next and to the first of them;
-    a large group of copies so gives links in proportion, by all its tables and variants.
+    Those who meet on a variant of a table are linked to the first of them, and those of one
+    table value to the one before as well: a large group of copies gives links in proportion
+    to its texts, over all the tables and variants on which they meet.
     """
     mask = (1 << TABLE) - 1
     parts = F.array(*[
@@ -171,19 +172,17 @@ def copy_links(prints: DataFrame) -> DataFrame:
     own = F.shiftleft(F.col("table").cast("long"), TABLE).bitwiseOR(F.col("part"))
     keys = F.array(own, *[own.bitwiseXOR(F.lit(1 << i)) for i in range(TABLE)])
     met = Window.partitionBy("key").orderBy("fp")
-    wides = prints.where("wide IS NOT NULL").select("fp", "wide")
-    links = (
-        wides.select("fp", F.posexplode(parts).alias("table", "part"))
-        .select("fp", F.explode(keys).alias("key"))
-        .select("fp", F.lag("fp").over(met).alias("last"), F.min("fp").over(met).alias("first"))
+    return (
+        prints.where("wide IS NOT NULL")
+        .select("fp", F.posexplode(parts).alias("table", "part"))
+        .select("fp", F.posexplode(keys).alias("flip", "key"))
+        .select("fp", "flip", F.lag("fp").over(met).alias("last"), F.min("fp").over(met).alias("first"))
         .where("last IS NOT NULL")
-        .select("fp", F.explode(F.array("last", "first")).alias("before"))
+        .select("fp", F.explode(F.array("first", F.when(F.col("flip") == 0, F.col("last")))).alias("before"))
+        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("before"))) <= NEAR)
         .select(F.col("before").alias("a"), F.col("fp").alias("b"))
         .distinct()
     )
-    apart = sum((F.bit_count(F.col("wa")[k].bitwiseXOR(F.col("wb")[k])) for k in range(LONGS)), F.lit(0))
-    both = links.join(wides.toDF("a", "wa"), "a").join(wides.toDF("b", "wb"), "b")
-    return both.where(apart <= NEAR).select("a", "b")
 
 
 def simhash_groups(
