@@ -7,37 +7,41 @@ fingerprint emits 65 variants (itself and one bit flipped), and no more than 65
 fingerprints can ever meet on one variant, however many copies the corpus has: copies are
 folded into their fingerprint first.
 
-Copies with a few words changed lie further apart than that. ``copies=True`` finds them too
-by the same means: a wide fingerprint of 256 bits over the distinct word pairs of a text is
-dealt out in eight tables of 32 bits, texts that come within 2 bits of each other in one of
-them meet on a variant, and of those whose 64-bit fingerprints lie within ``NEAR`` bits the
-ones that share at least ``SIMILAR`` of their five-word shingles are linked.
+``keep_one`` does not rest on fingerprints. It joins all texts that share at least ``SIMILAR``
+of their distinct five-word shingles, by the prefix filter of set joins, which loses none:
+if the shingles of every text stand in one common order, two such texts share one of the
+first ``n - ceil(SIMILAR * n) + 1`` of either. Rare ones come first, by a sketch of counts, so
+that few texts meet that are not alike. Those who meet are linked star by star first, and then
+every pair that is not yet in one component is compared.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 from .components import components
-from .text import bytes_of, id_and_text, in_batches
+from .text import bytes_of, id_and_text, in_batches, slices
 
 BITS = 64
 SEED = 42
-#: Bits of the wide fingerprint, in longs, and of each of its tables.
-LONGS, TABLE = 4, 32
-#: Jaccard similarity of near copies, on shingles of so many words.
+#: Jaccard similarity of near copies, on distinct shingles of so many words.
 SIMILAR, SHINGLE = 0.8, 5
-#: Differing bits of the 64 beyond which no near copy lies: texts that similar differ in 7 on
-#: average (deviation 2.6; 14 at most in the test tables). It only saves comparing texts.
-NEAR = 16
+#: Slots of the sketch that puts shingles in order; it decides how many texts meet, not which are found.
+SLOTS = 1 << 20
+#: Texts of a bucket that are compared with each other in one group of a join.
+PART = 256
+#: Stars are drawn anew while more pairs than so many times the rows of the buckets are left.
+LEFT = 4
 #: So many ids are broadcast to find the texts to compare (16 MB); more are joined by shuffle.
 BROADCAST = 1_000_000
-_GOLDEN = 0x9E3779B97F4A7C15
 
 
 def fingerprint(text: bytes, size: int = 3) -> int:
@@ -65,39 +69,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def wide_fingerprint(text: bytes) -> list[int] | None:
-    """SimHash of 256 bits, as signed longs, over a text's distinct word pairs; None without words."""
-    words = text.lower().split()
-    if not words:
-        return None
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
-    pairs = np.unique(_mixed(hashes[:-1]) + hashes[1:]) if len(words) > 1 else hashes
-    counts = np.zeros(LONGS * BITS, dtype=np.int64)
-    for start in range(0, len(pairs), 1 << 14):
-        part = pairs[start:start + (1 << 14)]
-        bits = np.stack([_mixed(part + np.uint64(k * _GOLDEN % 2**64)) for k in range(1, LONGS + 1)], axis=1)
-        counts += np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(pairs), bitorder="little").view("<i8").tolist()
-
-
 def fingerprints(
-    docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", wide: bool = False
+    docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc_id, fp)``: every whole text's fingerprint as a signed long; ``wide`` adds the wide one."""
+    """``(doc_id, fp)``: every whole text's fingerprint as a signed long."""
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = bytes_of(batch.column(1))
-            found = np.array([fingerprint(t, size) for t in texts], dtype=np.uint64)
-            columns = [batch.column(0), pa.array(found.view(np.int64))]
-            if wide:
-                columns.append(pa.array([wide_fingerprint(t) for t in texts], pa.list_(pa.int64())))
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "wide"][:len(columns)])
+            found = np.array([fingerprint(t, size) for t in bytes_of(batch.column(1))], dtype=np.uint64)
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
         return step
 
-    schema = "doc_id long, fp long" + ", wide array<long>" * wide
-    return in_batches(id_and_text(docs, id_col, text_col), schema, start)
+    return in_batches(id_and_text(docs, id_col, text_col), "doc_id long, fp long", start)
 
 
 def near_links(prints: DataFrame) -> DataFrame:
@@ -132,80 +116,200 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(found).view(np.int64)
 
 
-def similar(links: DataFrame, firsts: DataFrame, texts: DataFrame, size: int = 3) -> DataFrame:
-    """Those of ``links(a, b)`` whose texts are near copies, compared shingle by shingle.
+def set_hash(own: np.ndarray) -> int:
+    """One signed number for a set of shingles: texts that share all of them are one node."""
+    return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)).view(np.int64))
 
-    ``firsts(fp, first)`` names a document for each fingerprint, ``texts(doc_id, text)`` has them.
-    """
-    ends = links.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    chosen = firsts.join(ends, "fp", "left_semi").select("fp", F.col("first").alias("doc_id")).checkpoint()
-    if chosen.count() <= BROADCAST:
-        chosen = F.broadcast(chosen)
+
+def text_nodes(texts: DataFrame) -> DataFrame:
+    """``(doc_id, hash, node)``: a row per row of ``texts(doc_id, hash, text)``."""
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            # a repeated id may have other texts than the one that is meant
-            found = [(fp, shingles(t)) for fp, t in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)))
-                     if fingerprint(t, size) == fp % (1 << BITS)]
+            found = [set_hash(shingles(t)) for t in bytes_of(batch.column(2))]
+            return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.int64())], ["doc_id", "hash", "node"])
+
+        return step
+
+    return in_batches(texts, "doc_id long, hash long, node long", start)
+
+
+def _unseen(texts: list[bytes], seen: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """The nodes of texts and their shingles, mostly once a task: a memory of bounded size."""
+    for text in texts:
+        own = shingles(text)
+        node = set_hash(own)
+        if node not in seen:
+            if len(seen) >= 100_000:
+                seen.clear()
+            seen.add(node)
+            yield node, own
+
+
+def sketch(texts: DataFrame) -> np.ndarray:
+    """About how many texts hold the shingles of each slot: 0 for one at most, then by sixteenths of a power of two."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(SLOTS, dtype=np.int64), set()
+        for batch in slices(batches):
+            for _, own in _unseen(bytes_of(batch.column(0)), seen):
+                np.add.at(total, own & (SLOTS - 1), 1)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["slot", "n"])
+
+    held = texts.select("text").mapInArrow(counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1")
+    found = held.select("slot", F.least(F.lit(255), F.round(16 * F.log2("n"))).cast("short").alias("level")).toArrow()
+    levels = np.zeros(SLOTS, dtype=np.uint8)
+    levels[found["slot"].to_numpy()] = found["level"].to_numpy().astype(np.uint8)
+    return levels
+
+
+def prefixes(texts: DataFrame, levels: np.ndarray) -> DataFrame:
+    """``(key, node, size, at)``: the shingles by which a text must meet any near copy, their
+    places in its order, and how many it has. What only one text can hold is left out."""
+    schema = "key long, node long, size int, at int"
+
+    def start():
+        seen: set[int] = set()
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for node, own in _unseen(bytes_of(batch.column(0)), seen):
+                level = levels[own & (SLOTS - 1)]
+                order = np.lexsort((own, level))[:len(own) - math.ceil(SIMILAR * len(own) - 1e-9) + 1]
+                at = np.flatnonzero(level[order])
+                for column, values in zip(out, (own[order[at]], np.full(len(at), node), np.full(len(at), len(own)), at)):
+                    column.append(values)
+            kinds = (np.int64, np.int64, np.int32, np.int32)
             return pa.RecordBatch.from_arrays(
-                [pa.array([fp for fp, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["fp", "set"])
+                [pa.array(np.concatenate(c).astype(k) if c else np.zeros(0, k)) for c, k in zip(out, kinds)], ["key", "node", "size", "at"])
 
         return step
 
-    sets = in_batches(texts.join(chosen, "doc_id").select("fp", "text"), "fp long, set array<long>", start).checkpoint()
-    both = links.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared >= SIMILAR * (F.size("sa") + F.size("sb") - shared)).select("a", "b").distinct()
+    return in_batches(texts.select("text"), schema, start)
 
 
-def copy_links(prints: DataFrame) -> DataFrame:
-    """``(a, b)``: links between fingerprints of ``prints(fp, wide)`` that may be near copies.
+def _fit(a: str, b: str) -> Column:
+    """Whether two texts that meet can be near copies by their sizes and by what follows the place
+    where they meet. A pair of near copies passes where it meets first."""
+    size, other, at, there = F.col(f"{a}.size"), F.col(f"{b}.size"), F.col(f"{a}.at"), F.col(f"{b}.at")
+    shared = F.least(size - at, other - there)
+    return (F.least(size, other) >= SIMILAR * F.greatest(size, other) - 1e-9) & (
+        shared >= SIMILAR / (1 + SIMILAR) * (size + other) - 1e-9)
 
-    Those who meet on a variant of a table are linked to the first of them, and those of one
-    table value to the one before as well: a large group of copies gives links in proportion
-    to its texts, over all the tables and variants on which they meet.
-    """
-    mask = (1 << TABLE) - 1
-    parts = F.array(*[
-        F.shiftrightunsigned(F.col("wide")[k // 2], TABLE * (k % 2)).bitwiseAND(F.lit(mask)) for k in range(2 * LONGS)
-    ])
-    own = F.shiftleft(F.col("table").cast("long"), TABLE).bitwiseOR(F.col("part"))
-    keys = F.array(own, *[own.bitwiseXOR(F.lit(1 << i)) for i in range(TABLE)])
-    met = Window.partitionBy("key").orderBy("fp")
+
+def _stars(buckets: DataFrame, turn: int) -> DataFrame:
+    """``(a, b)``: in every bucket each text with a first one, drawn anew each turn, and the one before it."""
+    met = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    own = F.struct("node", "root", "size", "at")
     return (
-        prints.where("wide IS NOT NULL")
-        .select("fp", F.posexplode(parts).alias("table", "part"))
-        .select("fp", F.posexplode(keys).alias("flip", "key"))
-        .select("fp", "flip", F.lag("fp").over(met).alias("last"), F.min("fp").over(met).alias("first"))
+        buckets.select(own.alias("y"), F.lag(own).over(met).alias("last"), F.first(own).over(met).alias("first"))
         .where("last IS NOT NULL")
-        .select("fp", F.explode(F.array("first", F.when(F.col("flip") == 0, F.col("last")))).alias("before"))
-        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("before"))) <= NEAR)
-        .select(F.col("before").alias("a"), F.col("fp").alias("b"))
+        .select("y", F.explode(F.array("first", "last")).alias("x"))
+        .where((F.col("x.root") != F.col("y.root")) & _fit("x", "y"))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
     )
 
 
+def _pairs(buckets: DataFrame) -> DataFrame:
+    """``(a, b)``: all pairs of a bucket that are in two components. Buckets are dealt out in
+    parts of bounded size and every two parts meet in a group of their own."""
+    met = Window.partitionBy("key")
+    parts = buckets.select(
+        "key", F.struct("node", "root", "size", "at").alias("x"), F.count("*").over(met).alias("n"),
+        ((F.row_number().over(met.orderBy("node")) - 1) / PART).cast("int").alias("part"))
+    last = ((F.col("n") - 1) / PART).cast("int")
+    left = parts.select("key", "x", F.col("part").alias("low"), F.explode(F.sequence("part", last)).alias("high"))
+    right = parts.select("key", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.col("part"))).alias("low"), F.col("part").alias("high"))
+    return (
+        left.join(right, ["key", "low", "high"])
+        .where((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _fit("x", "y"))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        .distinct()
+    )
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` that share enough of their shingles, ``sets(node, set)``."""
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return both.where(shared >= SIMILAR * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
+
+
+def near_copies(texts: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``(node, root)`` for every text with a near copy: equal roots, joined by pairs of near copies.
+
+    Every pair of ``texts(doc_id, text)`` that shares ``SIMILAR`` of its shingles is in one
+    component, and every component is held together by such pairs. ``firsts(node, first)``
+    names a document for each set of shingles.
+    """
+    met = Window.partitionBy("key")
+    rows = prefixes(texts, sketch(texts)).repartition("key").dropDuplicates(["key", "node"])
+    buckets = rows.withColumn("n", F.count("*").over(met)).where("n > 1").drop("n").checkpoint()
+    chosen = firsts.join(buckets.select("node").distinct(), "node").select("node", F.col("first").alias("doc_id")).checkpoint()
+    if chosen.count() <= BROADCAST:
+        chosen = F.broadcast(chosen)
+
+    def start():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            # a repeated id may have other texts than the one that is meant
+            own = [shingles(t) for t in bytes_of(batch.column(1))]
+            found = [(node, s) for node, s in zip(batch.column(0).to_pylist(), own) if set_hash(s) == node]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["node", "set"])
+
+        return step
+
+    wanted = texts.join(chosen, "doc_id").select("node", "text")
+    sets = in_batches(wanted, "node long, set array<long>", start).dropDuplicates(["node"]).checkpoint()
+    links = sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    roots, apart = components(links), _apart(buckets, None)
+    left, rows = _left(apart), buckets.count()
+    turn = 0
+    while left > LEFT * rows:  # only saves pairs: whatever the stars leave is compared below
+        links = links.unionByName(_alike(_stars(apart, turn), sets)).checkpoint()
+        roots = components(links)
+        apart = _apart(buckets, roots)
+        before, left = left, _left(apart)
+        turn += 1
+        if left > before / 2:
+            break
+    return components(links.unionByName(_alike(_pairs(apart), sets)))
+
+
+def _apart(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``buckets`` with the component of each text, those that are not yet in one component."""
+    if roots is None:
+        return buckets.withColumn("root", F.col("node"))
+    met = Window.partitionBy("key")
+    named = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ends = named.withColumn("low", F.min("root").over(met)).withColumn("high", F.max("root").over(met))
+    return ends.where("low != high").drop("low", "high").checkpoint()
+
+
+def _left(buckets: DataFrame) -> int:
+    """How many pairs of two components are in the buckets, each counted where it meets."""
+    of_root = buckets.groupBy("key", "root").agg(F.count("*").alias("n"))
+    of_key = of_root.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    return of_key.agg(F.sum(((F.col("all") * F.col("all") - F.col("same")) / 2).cast("long"))).first()[0] or 0
+
+
 def simhash_groups(
-    docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", copies: bool = False
+    docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, a row per row of ``docs``.
 
-    ``component_id`` is the smallest ``doc_id`` reachable over links of at most 2 bits (and,
-    with ``copies``, over links of near copies). A
+    ``component_id`` is the smallest ``doc_id`` reachable over links of at most 2 bits. A
     null or wordless text has the fingerprint zero and is linked like any other. Rows with
     equal ids stay separate rows; a null id never is the smallest (a component of null ids
     only has a null ``component_id``). An empty table gives an empty one; columns beside
     the two named ones are not read.
     """
     checkpoint_root(docs.sparkSession)
-    prints = fingerprints(docs, size, id_col, text_col, wide=copies).checkpoint()
+    prints = fingerprints(docs, size, id_col, text_col).checkpoint()
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    links = near_links(firsts.select("fp"))
-    if copies:
-        wide = prints.groupBy("fp").agg(F.min_by("wide", "doc_id").alias("wide")).checkpoint()
-        links = links.unionByName(similar(copy_links(wide).checkpoint(), firsts, id_and_text(docs, id_col, text_col), size))
-        prints = prints.drop("wide")
-    roots = components(links)
+    roots = components(near_links(firsts.select("fp")))
     linked = firsts.join(roots.select(F.col("node").alias("fp"), "root"), "fp").checkpoint()
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
     reached = linked.join(smallest, "root").select("fp", "smallest")
@@ -216,20 +320,29 @@ def simhash_groups(
     )
 
 
-def keep_one(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near duplicates and near copies: that of the smallest id.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest id.
 
-    All columns are kept as they are. Of rows that share that smallest id one stays. Rows
-    with a null id have nothing to be named by: they are in no group and all stay.
+    Groups are held together by pairs of texts that share ``SIMILAR`` of their distinct
+    five-word shingles, and no such pair is in two groups; wordless texts are one group. All
+    columns are kept as they are. Of rows with the smallest id of a group one stays; rows that
+    share an id but not their text are told apart. Rows with a null id have nothing to be
+    named by: they are in no group and all stay.
     """
-    groups = simhash_groups(docs.where(F.col(id_col).isNotNull()), size, id_col, text_col, copies=True)
-    ids = groups.groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.min(F.col("component_id") == F.col("doc_id")).alias("stays")
-    ).where("stays").checkpoint()
-    own = docs[id_col].cast("long")
-    single, repeated = ids.where("rows = 1").select("doc_id"), ids.where("rows > 1").select("doc_id")
+    checkpoint_root(docs.sparkSession)
+    named = docs.where(F.col(id_col).isNotNull())
+    texts = id_and_text(named, id_col, text_col).select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    nodes = text_nodes(texts).checkpoint()
+    firsts = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("row"))
+    roots = near_copies(texts, firsts.select("node", F.col("row.doc_id").alias("first")))
+    best = firsts.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row"))
+    rows = nodes.groupBy("doc_id", "hash").agg(F.count("*").alias("rows"))
+    kept = best.select("row.doc_id", "row.hash").join(rows, ["doc_id", "hash"]).checkpoint()
+    own, text = docs[id_col].cast("long"), F.xxhash64(docs[text_col].cast("string"))
+    single, repeated = kept.where("rows = 1"), kept.where("rows > 1")
+    same = lambda rows: (own == rows["doc_id"]) & (text == rows["hash"])
     return (
-        docs.join(single, own == single["doc_id"], "left_semi")
-        .unionByName(docs.join(repeated, own == repeated["doc_id"], "left_semi").dropDuplicates([id_col]))
+        docs.join(single, same(single), "left_semi")
+        .unionByName(docs.join(repeated, same(repeated), "left_semi").dropDuplicates([id_col, text_col]))
         .unionByName(docs.where(docs[id_col].isNull()))
     )

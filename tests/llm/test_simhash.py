@@ -106,3 +106,44 @@ def test_empty_tables(spark, docs):
     empty = docs([(1, "x")]).limit(0)
     assert simhash.simhash_groups(empty).collect() == []
     assert simhash.keep_one(empty).collect() == []
+
+
+def plain_shingles(text):
+    words = text.lower().split()
+    size = min(simhash.SHINGLE, len(words))
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def plain_kept(rows):
+    """The ids that stay when every pair of texts is compared."""
+    sets, group = [plain_shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if top(i) != top(j) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                group[top(i)] = top(j)
+    return sorted(min(d for k, (d, _) in enumerate(rows) if top(k) == top(i)) for i in range(len(rows)) if top(i) == i)
+
+
+def kept_ids(df):
+    return sorted(r.doc_id for r in simhash.keep_one(df).collect())
+
+
+def test_drifting_groups_match_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(simhash, "PART", 3)
+    draw = random.Random(4)
+    rows = []
+    for _ in range(6):  # chains of edits: neighbours are near copies, ends are not
+        words = [f"w{draw.randrange(5000)}" for _ in range(draw.choice((60, 120, 240)))]
+        for _ in range(25):
+            rows.append((len(rows), " ".join(words)))
+            words = list(words)
+            for _ in range(draw.randint(1, len(words) // 40)):
+                words[draw.randrange(len(words))] = f"w{draw.randrange(5000)}"
+    draw.shuffle(rows)
+    assert kept_ids(docs(rows)) == plain_kept(rows)
