@@ -147,3 +147,15 @@ def test_drifting_groups_match_brute_force(spark, docs, monkeypatch):
                 words[draw.randrange(len(words))] = f"w{draw.randrange(5000)}"
     draw.shuffle(rows)
     assert kept_ids(docs(rows)) == plain_kept(rows)
+
+
+def body(draw, n):
+    return [f"w{draw.randrange(5000)}" for _ in range(n)]
+
+
+def test_a_line_repeated_in_the_copy(spark, docs):
+    draw, rows = random.Random(5), []
+    for _ in range(10):
+        text, line = body(draw, 300), body(draw, 10)
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(text + line * 15))]
+    assert kept_ids(docs(rows)) == plain_kept(rows) == list(range(0, 20, 2))
