@@ -159,3 +159,11 @@ def test_a_line_repeated_in_the_copy(spark, docs):
         text, line = body(draw, 300), body(draw, 10)
         rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(text + line * 15))]
     assert kept_ids(docs(rows)) == plain_kept(rows) == list(range(0, 20, 2))
+
+
+def test_blocks_appended_cut_off_or_replaced(spark, docs):
+    draw, rows = random.Random(7), []
+    for n in range(30):  # similarity 0.80 to 0.82
+        text = body(draw, 240)
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join([text + body(draw, 56), text[:196], text[:214] + body(draw, 26)][n % 3]))]
+    assert kept_ids(docs(rows)) == plain_kept(rows)
