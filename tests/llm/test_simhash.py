@@ -167,3 +167,18 @@ def test_blocks_appended_cut_off_or_replaced(spark, docs):
         text = body(draw, 240)
         rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join([text + body(draw, 56), text[:196], text[:214] + body(draw, 26)][n % 3]))]
     assert kept_ids(docs(rows)) == plain_kept(rows)
+
+
+def test_one_line_makes_most_of_two_texts(spark, docs):
+    draw = random.Random(8)
+    line = body(draw, 11)
+    rows = [(n, " ".join(body(draw, 60) + line * 40)) for n in range(10)]
+    assert kept_ids(docs(rows)) == plain_kept(rows) == list(range(10))
+
+
+def test_texts_of_one_id_are_told_apart(spark, docs):
+    draw = random.Random(6)
+    texts = [" ".join(f"w{draw.randrange(5000)}" for _ in range(80)) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1]), (3, texts[2]), (3, texts[2])]
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs(rows)).collect())
+    assert kept == sorted([(1, texts[0]), (1, texts[1]), (3, texts[2])])
