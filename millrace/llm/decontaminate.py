@@ -27,8 +27,9 @@ from .text import bytes_of, id_and_text, in_batches, slices, words
 
 GRAM, WINDOW = 5, 4
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Share of an exact copy's score from which a document is contaminated.
-THRESHOLD = 0.5
+#: Share of an exact copy's score from which a document is contaminated, the copy being that of
+#: the item or of so many words of it, if it is longer: a passage counts however long its item is.
+THRESHOLD, PASSAGE = 0.5, 40
 #: Bytes of item text that are sent to the tasks at once (an item is never cut).
 BLOCK_BYTES = 4_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -133,7 +134,7 @@ class Items:
             own = self.words[k]
             room = max(8, len(own) // 2)  # edits may shift and stretch the copy by so much
             best = (0, 0, 0)
-            done = -1
+            done = -math.inf
             for start in sorted(starts):
                 if start >= 0 and np.array_equal(document[start:start + len(own)], own):
                     best = max(best, (MATCH * len(own), -start, start + len(own)))
@@ -150,7 +151,7 @@ class Items:
                     memo[key] = align(own, passage)
                 score, first, stop = memo[key]
                 best = max(best, (score, -(left + first), left + stop))
-            if best[0] >= THRESHOLD * MATCH * len(own):
+            if best[0] >= THRESHOLD * MATCH * min(len(own), PASSAGE):
                 yield self.ids[k], best[0] / (MATCH * len(own)), -best[1], best[2]
 
 
@@ -213,8 +214,9 @@ def contaminated(
 ) -> DataFrame:
     """``(doc_id, item_id, score, first_word, stop_word)``: test items found in whole texts.
 
-    A row for each document row and item whose best alignment scores at least ``THRESHOLD``;
-    the two places are in words of the text. Null, empty and wordless texts hold nothing; an
+    A row for each document row and item whose best alignment scores at least ``THRESHOLD``
+    of an exact copy of the item, or of ``PASSAGE`` words if it is longer (``score`` is the share of
+    the whole item, so that it may be less); the two places are in words of the text. Null, empty and wordless texts hold nothing; an
     empty test set finds nothing; equal items are found each; rows with equal or null ids
     stay separate rows. Other columns are not read.
     """

@@ -223,3 +223,12 @@ def test_blocks_of_items_find_the_same(spark, docs, monkeypatch):
     whole = sorted(map(tuple, decontaminate.contaminated(table, items).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
     assert sorted(map(tuple, decontaminate.contaminated(table, items).collect())) == whole and len(whole) >= 7
+
+
+def test_a_long_passage_of_a_longer_item(spark, docs):
+    draw = random.Random(8)
+    item, short = ([f"w{draw.randrange(5000)}" for _ in range(n)] for n in (700, 59))
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id long, text string")
+    rows = [(1, "a b " + " ".join(item[200:500]) + " c"), (2, "d " + " ".join(short[:29]) + " e f"), (3, "g " + " ".join(item[:10]) + " h")]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(rows), items).collect()} == {(1, 1), (2, 2)}
+    assert [r.doc_id for r in decontaminate.keep_clean(docs(rows), items).collect()] == [3]
