@@ -46,9 +46,10 @@ def passages(messages: DataFrame) -> DataFrame:
     """``(conv, turn, level, hash, whole)``: quoted passages of ``messages(conv, turn, row, text)``.
 
     A passage is a run of lines of one level (``whole``) and each line of it. ``row`` tells
-    messages of one turn apart.
+    messages of one turn apart; equal messages quote alike and are cut into lines once.
     """
-    lines = messages.where(F.col("text").rlike(_QUOTED)).select(
+    quoting = messages.where(F.col("text").rlike(_QUOTED)).select("conv", "turn", "row", "text").distinct()
+    lines = quoting.select(
         "conv", "turn", "row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     leveled = lines.select("conv", "turn", "row", "at", _level(F.col("line")).alias("level"),
                            F.regexp_replace("line", _LEAD, "").alias("body")).where("level > 0")

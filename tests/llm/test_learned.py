@@ -140,3 +140,11 @@ def test_an_answer_in_a_thread(spark):
     found = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("position").collect()
     assert [(r.turn, r.reply_to, r.thread, r.text) for r in found] == [
         (0, None, 0, "How tall is it?"), (2, 0, 0, "Nine feet."), (3, 2, 0, "Thanks!"), (1, None, 1, "And how old?")]
+
+
+def test_equal_messages_quote_alike(spark):
+    quote = "one two\nthree four\nfive six"
+    again = (1, 2, "user", "> one\n> two three four\n> five six\nYes.")  # wrapped anew: only the whole passage is held
+    rows = [(1, 0, "user", quote.replace("\n", " ")), (1, 1, "assistant", "ok"), again, again]
+    found = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert [r.reply_to for r in found if r.turn == 2] == [0, 0]
