@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, bpe, decontaminate, language, licenses, quotes, secrets, simhash, tokenfile, toxicity
+from . import ann, bpe, decontaminate, language, licenses, prefix_tree, quotes, secrets, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -113,6 +113,66 @@ def op3_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(table(spark, folder, "conversations", ["conv_id", "turn", "role", "text"]))
 
 
+@query
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with the totals of its subtree."""
+    return prefix_tree.conversation_tree(table(spark, folder, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
+#: CRC-32 of a conversation's decimal digits is worked out bit by bit; beginnings are told apart by
+#: the digests of their turns, written one after another; totals are sums over all deeper beginnings.
+CHECKS["op13_conversation_prefix_trie"] = r"""
+WITH m AS (
+    SELECT conv_id AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT conv, md5(concat(length(role), ':', role, ':', text)) AS content,
+           len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+           row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(concat(length(role), ':', role, ':', text))) AS place
+    FROM m
+), convs AS (
+    SELECT conv, conv - conv % 20 AS base, max(place) AS own,
+           xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+               lambda s, c: list_reduce(list_prepend(xor(s, c), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+                                     lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 4 AS h
+    FROM placed GROUP BY conv
+), sized AS (
+    SELECT c.conv, c.base, c.h, least(c.h, coalesce(b.own, 0)) AS lent, greatest(c.own - c.h, 0) AS rest
+    FROM convs c LEFT JOIN convs b ON b.conv = c.base
+), turns AS (
+    SELECT s.conv, p.place AS depth, p.content, p.words FROM sized s JOIN placed p ON p.conv = s.base AND p.place <= s.h
+    UNION ALL
+    SELECT s.conv, p.place - s.h + s.lent, p.content, p.words FROM sized s JOIN placed p ON p.conv = s.conv AND p.place > s.h
+), begun AS (
+    SELECT conv, 0 AS depth, '' AS path, 0 AS words FROM convs
+    UNION ALL
+    SELECT conv, depth, string_agg(content, '') OVER (PARTITION BY conv ORDER BY depth), words FROM turns
+), nodes AS (
+    SELECT depth, path, min(conv) AS conv_id, count(*) AS n_convs, max(words) AS words FROM begun GROUP BY depth, path
+), named AS (
+    SELECT b.conv, n.depth, n.conv_id, n.n_convs, n.words, n.path FROM begun b JOIN nodes n ON b.depth = n.depth AND b.path = n.path
+), own AS (
+    SELECT n.conv_id, n.depth, n.n_convs, n.words, p.conv_id AS parent_conv_id
+    FROM nodes n LEFT JOIN named p ON p.conv = n.conv_id AND p.depth = n.depth - 1
+), children AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM own WHERE depth > 0 GROUP BY 1, 2
+), full_own AS (
+    SELECT o.*, coalesce(c.n_children, 0) AS n_children FROM own o LEFT JOIN children c ON o.conv_id = c.conv_id AND o.depth = c.depth
+), totals AS (
+    SELECT a.conv_id, a.depth, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved_tokens
+    FROM full_own f JOIN named a ON a.conv = f.conv_id AND a.depth <= f.depth
+    GROUP BY a.conv_id, a.depth
+), ends AS (
+    SELECT a.conv_id, a.depth, sha256(string_agg(CAST(s.conv AS VARCHAR), ',' ORDER BY s.conv)) AS ends_sha256
+    FROM sized s JOIN named a ON a.conv = s.conv AND a.depth = s.lent + s.rest
+    GROUP BY a.conv_id, a.depth
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, f.parent_conv_id, f.n_convs, f.n_children, CAST(t.n_leaves AS BIGINT) AS n_leaves,
+       CAST(t.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM full_own f JOIN totals t ON f.conv_id = t.conv_id AND f.depth = t.depth
+LEFT JOIN ends e ON f.conv_id = e.conv_id AND f.depth = e.depth
+"""
+
+
 CHECKS["op3_quotation_links"] = r"""
 WITH RECURSIVE m AS (
     SELECT row_number() OVER () AS rid, conv_id, turn, role, coalesce(text, '') AS text FROM conversations
