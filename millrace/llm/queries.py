@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, bpe, decontaminate, language, licenses, packing, prefix_tree, quotes, secrets, simhash, tokenfile, toxicity
+from . import ann, bpe, decontaminate, language, licenses, packing, prefix_tree, quotes, secrets, simhash, tokenfile, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -113,6 +113,12 @@ def op3_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(table(spark, folder, "conversations", ["conv_id", "turn", "role", "text"]))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the eight components of largest variance, scaled to one."""
+    return whitening.whitened(table(spark, folder, "embeddings", ["vec_id", "embedding"]))
+
+
 @query
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces in sequences of at most 2048 tokens."""
