@@ -1,5 +1,7 @@
 """Toxicity, language, neighbours and quotes."""
 
+import functools
+import math
 import random
 
 import duckdb
@@ -101,6 +103,50 @@ def test_neighbours(spark, few):
     assert first == [1000, 1001, 1002, 1003, 1004]  # ties by the smaller id
 
 
+def test_parallel_vectors_are_ranked_by_the_exact_score(spark):
+    draw = np.random.default_rng(11)
+    base = draw.normal(size=3)
+    rows = [(i, (base * (i + 1) * draw.uniform(0.5, 2)).tolist(), "x", "x") for i in range(40)] + [(40, [1e200, 1.0, 0.0], "x", "x"), (41, [1e-200, 1e-201, 0.0], "x", "x")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, leaf string, ids string")
+    found = ann.search(table, table.where("vec_id IN (0, 5, 40)")).collect()
+    for query in (0, 5, 40):
+        near = []
+        for i, v, *_ in rows:
+            if i != query:
+                q, w = (np.array(x) for x in (rows[query][1], v))
+                q, w = (np.ldexp(x, -np.frexp(np.abs(x).max())[1]) for x in (q, w))
+                dot = lambda a, b: functools.reduce(lambda t, p: t + p, (a * b).tolist(), 0.0)
+                near.append((-dot(q, w) / (math.sqrt(dot(q, q)) * math.sqrt(dot(w, w))), i))
+        got = sorted((r["rank"], r.vec_id, r.score) for r in found if r.query_id == query)
+        assert [(i, -s) for _, i, s in got] == [(i, s) for s, i in sorted(near)[:5]]
+
+
+def test_leaves_grow_with_the_vectors_and_few_are_visited(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 500)
+    monkeypatch.setattr(ann, "BUNDLE", 700)
+    monkeypatch.setattr(ann, "BLOCK", 60)
+    monkeypatch.setattr(ann, "QUERIES", 40)
+    draw = np.random.default_rng(12)
+    centres = draw.normal(size=(60, 16))
+    vectors = (centres[draw.integers(0, 60, 4000)] + draw.normal(scale=0.15, size=(4000, 16)))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    stored = ann.folded(ann.usable(table, "vec_id", "embedding"), 6).checkpoint()
+    upper = ann.grow(ann._drawn(stored, ann.SAMPLE, 4000), ann.LEAF)
+    tree = ann._split(stored, upper, 4000)
+    assert tree.leaves >= 4000 / ann.LEAF and tree.leaves > 2 * upper.leaves
+    assert sorted(-c for cs in tree.children for c in cs if c < 0) == list(range(1, tree.leaves + 1))
+    visits = ann._visits(stored, 4000, tree, 5)
+    found = ann.search(table, table.where("vec_id % 50 = 0")).collect()
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for query in range(0, 4000, 50):
+        near = units @ units[query]
+        near[query] = -2
+        hits += len({r.vec_id for r in found if r.query_id == query} & set(np.argsort(-near)[:5].tolist()))
+    print("visited", visits, "of", tree.leaves, "recall", hits / 400)
+    assert hits / 400 >= 0.95 and visits <= 0.2 * tree.leaves
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in ann.search(table, table.where("vec_id = 0")).collect()] == [(0, 1, 1, 0.0)]
