@@ -217,19 +217,27 @@ def largest_roots(poly: list[int], count: int) -> list[tuple[Fraction, int]]:
     own, bits = poly[zeros:], PRECISE
     degree = len(own) - 1
     count = min(count, degree)
+
+    def apart(scaled: list[int], known: dict[int, int], i: int) -> tuple[int, int]:
+        """Neighbouring numbers with the i-th root alone between them, or else one apart."""
+        low = max(y for y, c in known.items() if c >= i)
+        high = min(y for y, c in known.items() if c < i)
+        while high - low > 1 and not (known[low] == i and known[high] == i - 1):
+            mid = (low + high) // 2
+            known[mid] = above(scaled, mid)
+            low, high = (mid, high) if known[mid] >= i else (low, mid)
+        return low, high
+
+    whole = {0: degree, 1 - own[-2]: 0}  # no root is above the sum of all
+    for i in range(1, count + 1):
+        apart(own, whole, i)  # most are told apart by whole numbers, which are shorter
     while count:
         scaled = [c << bits * (degree - k) for k, c in enumerate(own)]
-        top = 1 << (max(abs(c) for c in own).bit_length() + bits + 1)  # no root is above the sum of all
         found: list[tuple[int, int]] = []
-        known = {0: degree, top: 0}
+        known = {y << bits: c for y, c in whole.items()}
         while sum(m for _, m in found) < count:
             i = sum(m for _, m in found) + 1
-            low = max(y for y, c in known.items() if c >= i)
-            high = min(y for y, c in known.items() if c < i)
-            while high - low > 1 and not (known[low] == i and known[high] == i - 1):
-                mid = (low + high) // 2
-                known[mid] = above(scaled, mid)
-                low, high = (mid, high) if known[mid] >= i else (low, mid)
+            low, high = apart(scaled, known, i)
             alike = known[low] - known[high] if high - low == 1 else 1
             while high - low > 1:  # one root is left: the sign tells on which side it is
                 mid, value = (low + high) // 2, 0
