@@ -5,6 +5,7 @@ from . import (
     clusters,
     estimators,
     evaluators,
+    fits,
     invariants,
     patterns,
     predictors,
@@ -14,4 +15,4 @@ from . import (
 )
 from .registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "invariants", "patterns", "predictors", "searches", "states", "transformers"]
+__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "fits", "invariants", "patterns", "predictors", "searches", "states", "transformers"]

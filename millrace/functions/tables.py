@@ -12,7 +12,9 @@ from collections.abc import Iterable
 from typing import Any
 
 import numpy as np
+from pyspark.ml import Model
 from pyspark.ml.linalg import Matrix, SparseVector, Vector
+from pyspark.ml import Model
 from pyspark.ml.linalg import MatrixUDT, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,9 +98,23 @@ def as_frame(spark: SparkSession, value: Any, name: str = "value") -> DataFrame:
         return small_frame(spark, [(value,)], f"`{name}` double")
     if isinstance(value, str):
         return small_frame(spark, [(value,)], f"`{name}` string")
+    if isinstance(value, Model) and _has(value, "topics_matrix"):  # a topic model is its terms by topics
+        return matrix_frame(spark, value.topicsMatrix())
     raise TypeError(f"{name} is a {type(value).__name__}, which has no table form")
 
 
+def learned_model(model: Any, name: str) -> Any:
+    """A model that another one knows, such as the local form of a distributed topic model.
+
+    Its state is read by ``attribute`` like any other's; ``attribute(model, name)`` itself answers
+    its main table.
+    """
+    value = _read(model, name, ())
+    if not isinstance(value, Model):
+        raise TypeError(f"{name} of {type(model).__name__} is no model")
+    return value
+
+
 def _list_frame(spark: SparkSession, values: list) -> DataFrame:
     if not values:
         return small_frame(spark, [], VECTOR)
