@@ -38,27 +38,29 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """The best local alignment of two word sequences: (score, first, stop) in the passage.
 
-    Of equally good ones the first to end counts. A word numbered zero equals no other.
+    Of equally good ones the first to end counts. A word numbered zero equals no other. Memory
+    is that of two rows: every score carries along where its alignment begins.
     """
-    rows = np.zeros((len(item) + 1, len(passage) + 1), dtype=np.int64)
-    steps = np.arange(len(passage) + 1) * -GAP
-    for i, word in enumerate(item):
+    size = len(passage) + 1
+    places = np.arange(size)
+    steps = places * -GAP
+    row, first = np.zeros(size, dtype=np.int64), places  # scores of a row, and where the best alignments to them begin
+    top, begin, stop = 0, 0, 0
+    for word in item:
         score = np.where((passage == word) & (passage > 0), MATCH, MISMATCH)
-        best = np.maximum(rows[i] + GAP, 0)
-        best[1:] = np.maximum(best[1:], rows[i, :-1] + score)
-        rows[i + 1] = np.maximum.accumulate(best + steps) - steps  # gaps along the passage
-    top = int(rows.max())
-    stop = j = int(rows.max(axis=0).argmax())
-    i = int(rows[:, j].argmax())
-    while rows[i, j] > 0:
-        same = MATCH if item[i - 1] == passage[j - 1] > 0 else MISMATCH
-        if rows[i, j] == rows[i - 1, j - 1] + same:
-            i, j = i - 1, j - 1
-        elif rows[i, j] == rows[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return top, j, stop
+        above, across = row + GAP, row[:-1] + score
+        best = np.maximum(above, 0)
+        best[1:] = np.maximum(best[1:], across)
+        row = np.maximum.accumulate(best + steps) - steps  # gaps along the passage
+        # each step comes from both words, else from the item's word, else from the passage's
+        before = np.where(row == above, first, -1)
+        before[1:] = np.where(row[1:] == across, first[:-1], before[1:])
+        before[row == 0] = places[row == 0]
+        first = before[np.maximum.accumulate(np.where(before >= 0, places, 0))]
+        at = int(row.argmax())
+        if row[at] > top or (row[at] == top and at < stop):
+            top, begin, stop = int(row[at]), int(first[at]), at
+    return top, begin, stop
 
 
 class Items:
