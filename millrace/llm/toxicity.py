@@ -7,8 +7,8 @@ difference below zero by fitting the unlabelled texts too well, so where it is n
 step goes the other way (the non-negative estimator). The classifier is logistic over the
 words present in a text and the beginnings of its longer words.
 
-It is fitted on a bounded sample (``POSITIVES`` and ``UNLABELLED`` rows, ``VOCABULARY``
-words); scoring reads every whole text and shuffles nothing.
+It is fitted on a bounded sample (``POSITIVES`` and ``UNLABELLED`` rows) and on all features
+that lie far from chance in it; scoring reads every whole text and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from ..session import checkpoint_root
 from .text import bytes_of, id_and_text, in_batches, words
 
 #: Bounds of the sample the classifier is fitted on.
-POSITIVES, UNLABELLED, VOCABULARY = 8_000, 24_000, 4_000
+POSITIVES, UNLABELLED = 8_000, 24_000
 #: Words enter the classifier if their counts lie so many standard errors from chance.
 LEAST_APART = 5.0
 #: So many features, the furthest from chance, bound the class prior.
@@ -56,6 +56,26 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
 
+def risk(margin: np.ndarray, n: int, prior: float) -> tuple[float, float, np.ndarray]:
+    """The risk on toxic texts, that on clean ones, and the slope of what a step minimises.
+
+    The first ``n`` margins are of positive texts, the others of unlabelled ones. A step
+    minimises the sum of both risks, or the negative of the second where that is below zero.
+    """
+    u = len(margin) - n
+    chance = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
+    loss = np.logaddexp(0, margin)  # of calling a row clean that scores so
+    toxic = prior * np.logaddexp(0, -margin[:n]).mean()
+    clean = loss[n:].mean() - prior * loss[:n].mean()
+    slope = np.empty(len(margin))
+    if clean >= 0:
+        slope[:n] = (prior * (chance[:n] - 1) - prior * chance[:n]) / n
+        slope[n:] = chance[n:] / u
+    else:
+        slope[:n], slope[n:] = prior * chance[:n] / n, -chance[n:] / u
+    return toxic, clean, slope
+
+
 def nonnegative_pu(
     positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float,
     epochs: int = 600, rate: float = 0.05, decay: float = 1e-3,
@@ -69,20 +89,12 @@ def nonnegative_pu(
     counts = np.array([len(r) for r in rows])
     of = np.repeat(np.arange(len(rows)), counts)
     features = np.concatenate(rows) if counts.sum() else np.zeros(0, dtype=np.int64)
-    n, u = len(positive), len(unlabelled)
+    n = len(positive)
     weights, bias = np.zeros(size), np.log(prior / (1 - prior))
     moments = np.zeros((2, size + 1))
     for step in range(1, epochs + 1):
         margin = np.bincount(of, weights[features], len(rows)) + bias
-        chance = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
-        loss = np.logaddexp(0, margin)  # of calling a row clean that scores so
-        clean = loss[n:].mean() - prior * loss[:n].mean()
-        slope = np.empty(len(rows))
-        if clean >= 0:
-            slope[:n] = (prior * (chance[:n] - 1) - prior * chance[:n]) / n
-            slope[n:] = chance[n:] / u
-        else:
-            slope[:n], slope[n:] = prior * chance[:n] / n, -chance[n:] / u
+        _, _, slope = risk(margin, n, prior)
         gradient = np.append(np.bincount(features, slope[of], size) + decay * weights, slope.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.999 * moments[1] + 0.001 * gradient**2
@@ -146,8 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None) -
     # toxic texts that hold the word, against what the others let expect, in standard errors
     expected = F.col("u") * n / u
     apart = F.abs(F.col("p") - expected) / F.sqrt(expected + 1)
-    telling = counted.where(apart >= LEAST_APART).orderBy(apart.desc(), "word").limit(VOCABULARY)
-    vocabulary = [bytes(r.word) for r in telling.collect()]
+    # words of a bounded sample: there are no more of them than it holds
+    telling = counted.select("word", apart.alias("apart")).where(F.col("apart") >= LEAST_APART).collect()
+    vocabulary = [bytes(r.word) for r in sorted(telling, key=lambda r: (-r.apart, bytes(r.word)))]
     places = {w: i for i, w in enumerate(vocabulary)}
 
     def start():
