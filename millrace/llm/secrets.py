@@ -26,14 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import bytes_of, id_and_text, in_batches, slices, words
+from .text import bytes_of, id_and_text, in_batches, slices, words, written
 
 #: Characters of the shortest run with a digit, and of the shortest assigned value.
 LONG_RUN, LONG_VALUE = 12, 8
 #: Characters on either side of a value in which its neighbours are looked for.
 AROUND = 60
-#: Words of the dictionary: the most frequent ones of four letters or more. A bound on the broadcast.
-DICTIONARY = 5_000
+#: A word of four letters or more is of the dictionary if it makes this share of all words at least, so
+#: there can't be more than its reciprocal of them.
+DICTIONARY = 1 / 100_000
 TREES, DEPTH, LEAST_LEAF = 40, 8, 4
 THRESHOLD = 0.5
 REDACTED = "[secret]"
@@ -118,15 +119,16 @@ def corpus_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     counts = id_and_text(docs, id_col, text_col).mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     word = F.decode("word", "UTF-8")
-    counts = counts.select(word.alias("word"), "n").where(F.col("word").rlike("^[a-z]{2,}$")).persist()
-    top = counts.where(F.length("word") >= 4).orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    counts = counts.select(word.alias("word"), "n").where(F.col("word").rlike("^[a-z]{2,}$"))
+    counts = written(counts, "word-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    common = counts.where((F.length("word") >= 4) & (F.col("n") >= total * DICTIONARY)).collect()
     # letter pairs inside words, weighted by how often the words occur
     pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr(F.col("word"), i, F.lit(2))))
     pairs = np.ones((26, 26))
     for row in counts.select(pair.alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 676 at most
         pairs[ord(row.pair[0]) - 97, ord(row.pair[1]) - 97] += row.n
-    counts.unpersist()
-    return Corpus(frozenset(r.word for r in top), np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+    return Corpus(frozenset(r.word for r in common), np.log(pairs / pairs.sum(axis=1, keepdims=True)))
 
 
 def features(before: str, value: str, after: str, corpus: Corpus) -> list[float]:

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: A-Z become a-z; 0-9, a-z and every byte of a non-ASCII character stay; all else parts words.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -50,3 +52,10 @@ def in_batches(
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns that are read, under names of our own: others never clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder: for many rows smaller than a checkpoint."""
+    path = scratch_path(df.sparkSession, what)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
