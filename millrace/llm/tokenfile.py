@@ -18,7 +18,6 @@ part, the ids of that part before it, and its own number of ids.
 
 from __future__ import annotations
 
-import functools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,18 +27,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from ..session import scratch_path
+from .bytebpe import encoder
 from .text import id_and_text, slices
 
 MAGIC = b"EFT1"
 SEGMENT_IDS = 1 << 20
 SAMPLE = 64
-#: A worker keeps the ids of so many pieces of text; beyond it begins anew. A bound on memory only.
-CACHED = 500_000
-#: Marks behind a word that are encoded once for all words.
-MARKS = (".", ",")
 _HEADER = struct.Struct("<4sB7xQQqQ")
 _LIST = struct.Struct("<QBxxxxxxxQQ")
 
@@ -139,91 +134,6 @@ class Segment:
         return (self.ends.select(i - 1) if i else 0), self.ends.select(i)
 
 
-class Encoder:
-    """The library's ids of whole texts, remembered by piece.
-
-    The file splits text by a pattern that lets a space go with what follows it, so a text
-    may be cut before every single space and after every single line break, and equal
-    pieces have equal ids. Texts for which that does not hold (white space in a row, special
-    tokens) go to the library whole.
-    """
-
-    def __init__(self, path: str) -> None:
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        (self.line,) = self.library.encode("\n", add_special_tokens=False).ids
-        self.memo: dict[str, bytes | None] = {}
-        self.marks = {mark: self.whole(mark) for mark in MARKS}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
-
-    def cut(self, text: str) -> list[str]:
-        """Pieces: all but those that begin with a line break stand for a space and themselves."""
-        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
-
-    def _plain(self, piece: str) -> bool:
-        inner = piece[1:] if piece[:1] == "\n" else piece
-        return bool(inner) and inner[0].isprintable() and inner[-1].isprintable() and not any(s in inner for s in self.special)
-
-    def _many(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without line breaks, encoded in one text with a line break between two."""
-        ids = np.array(self.library.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, self.kind)
-        breaks = np.flatnonzero(ids == self.line) * self.kind.itemsize
-        data = ids.tobytes()
-        starts = [0, *(breaks + self.kind.itemsize).tolist()]
-        return [data[a:b] for a, b in zip(starts, [*breaks.tolist(), len(data)], strict=True)]
-
-    def learn(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.memo)
-        if len(self.memo) + len(new) > CACHED:
-            self.memo.clear()
-            new = pieces
-        plain, marked = set(), []
-        for piece in new:
-            stem = piece[:-1]
-            # a letter and a mark never share a token, so "word," is "word" and ","
-            if piece[-1:] in MARKS and stem.isalpha() and max(stem) < "\u0250":
-                marked.append(piece)
-                if stem not in self.memo:
-                    plain.add(stem)
-            elif self._plain(piece):
-                plain.add(piece)
-            else:
-                self.memo[piece] = None
-        line = np.array([self.line], self.kind).tobytes()
-        spaced = [p for p in plain if p[0] != "\n"]
-        broken = [p for p in plain if p[0] == "\n"]
-        for start in range(0, len(spaced), 10_000):
-            part = spaced[start:start + 10_000]
-            self.memo.update(zip(part, self._many([" " + p for p in part]), strict=True))
-        for start in range(0, len(broken), 10_000):
-            part = broken[start:start + 10_000]
-            self.memo.update(zip(part, [line + x for x in self._many([p[1:] for p in part])], strict=True))
-        for piece in marked:
-            self.memo[piece] = self.memo[piece[:-1]] + self.marks[piece[-1]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as packed numbers."""
-        cut = [self.cut(text) for text in texts]
-        self.learn(set().union(*cut))
-        out = []
-        for text, pieces in zip(texts, cut):
-            found = [self.memo[p] for p in pieces]
-            # the first piece was given a line break to stand behind
-            out.append(self.whole(text) if None in found else b"".join(found)[self.kind.itemsize:])
-        return out
-
-
-@functools.cache
-def encoder(path: str) -> Encoder:
-    """One encoder for a Python worker: its memo of bounded size serves task after task."""
-    return Encoder(path)
-
-
 def _portions(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[tuple[list, list[str]]]:
     ids, texts, total = [], [], 0
     for batch in slices(batches):
@@ -268,8 +178,8 @@ def write_tokens(
         for some, texts in _portions(batches):
             for doc, found in zip(some, coder.encode(texts)):
                 ids.append(doc)
-                data.append(found + end)
-                lengths.append(len(data[-1]) // width)
+                data.append(found.tobytes() + end)
+                lengths.append(len(found) + 1)
                 size += lengths[-1]
                 if size >= SEGMENT_IDS:
                     yield packed(ids, lengths, data)
