@@ -25,14 +25,13 @@ from .registry import query, rounded
 SEED = 42
 
 APART_SQL = """
-SELECT (l_quantity > 30)::INT AS label, (l_quantity > 30)::INT AS prediction, count(*) AS n
-FROM lineitem WHERE l_quantity < 20 OR l_quantity > 30 GROUP BY ALL"""
+SELECT (l_quantity > 25)::INT AS label, (l_quantity > 25)::INT AS prediction, count(*) AS n FROM lineitem GROUP BY ALL"""
 
 
 def _apart(spark, sf):
-    """All lines of small and of large quantities, the middle between them left out."""
-    df = table(spark, sf, "lineitem", ["l_quantity"]).where("l_quantity < 20 OR l_quantity > 30")
-    df = df.select((F.col("l_quantity") > 30).cast("double").alias("label"), ((F.col("l_quantity") - 25) / 12.5).alias("x"))
+    """All lines; the label is whether the quantity, a whole number, is above 25."""
+    df = table(spark, sf, "lineitem", ["l_quantity"])
+    df = df.select((F.col("l_quantity") > 25).cast("double").alias("label"), ((F.col("l_quantity") - 25.5) / 2.5).alias("x"))
     return assemble(df, ["x"], keep=["label"])
 
 
@@ -44,18 +43,18 @@ def _told(op, df):
 
 @query(APART_SQL)
 def linear_svc_apart(spark, sf):
-    return _told(classification.linear_svc(max_iter=50), _apart(spark, sf))
+    return _told(classification.linear_svc(max_iter=200, tol=1e-10), _apart(spark, sf))
 
 
 @query(APART_SQL)
 def multilayer_perceptron_apart(spark, sf):
-    op = classification.multilayer_perceptron_classifier(layers=[1, 4, 2], max_iter=100, seed=SEED)
+    op = classification.multilayer_perceptron_classifier(layers=[1, 4, 2], max_iter=300, tol=1e-10, seed=SEED)
     return _told(op, _apart(spark, sf))
 
 
 @query(APART_SQL)
 def fm_classifier_apart(spark, sf):
-    return _told(classification.fm_classifier(factor_size=2, step_size=0.2, max_iter=200, seed=SEED), _apart(spark, sf))
+    return _told(classification.fm_classifier(factor_size=2, step_size=0.2, max_iter=300, tol=1e-9, seed=SEED), _apart(spark, sf))
 
 
 @query("SELECT count(*) AS n, true AS close FROM lineitem")
@@ -114,7 +113,7 @@ def gaussian_mixture_apart(spark, sf):
 
 @query(f"""
 WITH s AS (SELECT doc_id, list_distinct({WORDS_SQL}) AS v FROM documents)
-SELECT 0::BIGINT AS wrong_distances, count(*) FILTER (len(v) > 0) AS sets FROM s""")
+SELECT 0::BIGINT AS wrong_distances, true AS some_found, count(*) FILTER (len(v) > 0) AS sets FROM s""")
 def min_hash_distances(spark, sf):
     """The min-hash join's distances are those of the whole word sets, on the whole vocabulary."""
     df = words(spark, sf, some=True)
@@ -125,7 +124,7 @@ def min_hash_distances(spark, sf):
     pairs = similarity.similarity_join(model, sets, sets, 0.3).where("datasetA.doc_id < datasetB.doc_id")
     both = F.size(F.array_intersect("datasetA.words", "datasetB.words"))
     exact = 1 - both / (F.size("datasetA.words") + F.size("datasetB.words") - both)
-    wrong = pairs.agg(F.count_if(F.abs(exact - F.col("distCol")) > 1e-9).alias("wrong_distances"))
+    wrong = pairs.agg(F.count_if(F.abs(exact - F.col("distCol")) > 1e-9).alias("wrong_distances"), (F.count("*") > 0).alias("some_found"))
     return wrong.crossJoin(sets.agg(F.count("*").alias("sets")))  # one row each
 
 
@@ -159,6 +158,33 @@ def gbt_boosted(spark, sf):
         (F.count_if(F.col("label") == F.col("prediction")) > larger).alias("better_than_chance"))
 
 
+@query("""
+SELECT count(*) AS n, 20::BIGINT AS trees, true AS better_than_the_mean, 1.0::DOUBLE AS importance, true AS trees_differ FROM embeddings""")
+def random_forest_regressor_bagged(spark, sf):
+    """Twenty trees on bootstraps of all embeddings: labels as numbers, better than their mean."""
+    checkpoint_root(spark)
+    df = embedded(spark, sf)
+    model = regression.random_forest_regressor(num_trees=20, max_depth=6, seed=SEED).fit(df)
+    importance = attribute(model, "feature_importances").agg(rounded(F.sum("value")).alias("importance"))
+    sizes = trees(model).agg(F.count("*").alias("trees"), (F.count_distinct("num_nodes") > 1).alias("trees_differ"))
+    error = F.avg(F.pow(F.col("label") - F.col("prediction"), 2)) < F.var_pop("label")
+    right = model.transform(df).agg(F.count("*").alias("n"), error.alias("better_than_the_mean"))
+    return right.crossJoin(sizes).crossJoin(importance)  # one row each
+
+
+@query("SELECT unnest(range(0, 12))::INT AS idx, true AS falls, true AS below_variance FROM (SELECT 1)")
+def gbt_regressor_boosted(spark, sf):
+    """Twelve steps on all embeddings: the squared error falls at each of them, below the labels' variance."""
+    checkpoint_root(spark)
+    df = embedded(spark, sf)
+    model = regression.gbt_regressor(max_iter=12, max_depth=3, seed=SEED).fit(df)
+    losses = attribute(model, "evaluate_each_iteration", df, "squared")
+    spread = df.agg(F.var_pop("label").alias("spread"))
+    earlier = losses.select((F.col("idx") + 1).alias("idx"), F.col("value").alias("before"))
+    return losses.join(earlier, "idx", "left").crossJoin(spread).select(  # one row a step
+        "idx", (F.col("before").isNull() | (F.col("value") < F.col("before"))).alias("falls"), (F.col("value") < F.col("spread")).alias("below_variance"))
+
+
 def _normal(x: str) -> str:
     """The normal distribution function in SQL: the series of erf, for arguments up to 6."""
     terms = " + ".join(

@@ -175,7 +175,8 @@ def document_copies(spark, sf):
 
 def _word_sets(spark, sf):
     df = words(spark, sf, some=True)
-    return feature.hashing_tf(input_col="words", output_col="set", binary=True).transform(df).select("doc_id", "set")
+    counter = feature.count_vectorizer(input_col="words", output_col="set", binary=True, min_df=1.0, vocab_size=2**31 - 1)
+    return counter.fit(df).transform(df).select("doc_id", "set")
 
 
 @query()

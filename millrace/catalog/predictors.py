@@ -236,48 +236,92 @@ def logistic_regression_bounded(spark, sf):
 
 # words against judgements -------------------------------------------------------------
 
-TERMS = ["the", "of", "and", "le", "la", "des", "der", "und", "que", "los"]
+#: Every word of the judged texts takes part. Sums over words are taken sparsely: a text's words only.
 NB_SQL = f"""
 WITH w AS (SELECT doc_id, quality AS y, {WORDS_SQL} AS w FROM documents JOIN labels USING (doc_id)),
-x AS (SELECT doc_id, y, unnest(range(10)) AS j, unnest([len([a FOR a IN w IF a = t]) FOR t IN {TERMS}])::DOUBLE AS x FROM w),
-t AS (SELECT y AS i, j, sum(x) AS s, sum(sum(x)) OVER (PARTITION BY y) AS ss FROM x GROUP BY y, j),
-theta AS (SELECT i, j, ln((s + 1) / (ss + 10)) AS v FROM t),
-pi AS (SELECT y AS i, ln((count(*) + 1) / ((SELECT count(*) FROM w) + 2.0)) AS v FROM w GROUP BY y)
+x AS (SELECT doc_id, y, term, count(*)::DOUBLE AS x FROM (SELECT doc_id, y, unnest(w) AS term FROM w) GROUP BY ALL),
+v AS (SELECT count(DISTINCT term) AS k FROM x),
+pi AS (SELECT y AS i, ln((count(*) + 1) / ((SELECT count(*) FROM w) + 2.0)) AS v FROM w GROUP BY y),
+terms AS (SELECT DISTINCT term FROM x), classes AS (SELECT DISTINCT y AS i FROM w),
 """
+COUNTS_SQL = NB_SQL + """
+c AS (SELECT y AS i, term, sum(x) AS s FROM x GROUP BY y, term),
+ss AS (SELECT i, sum(s) AS ss FROM c GROUP BY i),
+theta AS (SELECT i, term, ln((coalesce(s, 0) + 1) / (ss + k)) AS v
+          FROM classes JOIN terms ON true JOIN ss USING (i) JOIN v ON true LEFT JOIN c USING (i, term))
+"""
+SCORED_SQL = """
+, s AS (SELECT x.doc_id, theta.i, sum(x.x * theta.v) AS part FROM x JOIN theta ON theta.term = x.term GROUP BY ALL),
+r AS (SELECT w.doc_id, pi.i, pi.v + coalesce(s.part, 0) AS raw FROM w JOIN pi ON true LEFT JOIN s ON s.doc_id = w.doc_id AND s.i = pi.i)
+SELECT doc_id, (CASE WHEN max(raw) FILTER (i = 0) >= max(raw) FILTER (i = 1) THEN 0 ELSE 1 END)::DOUBLE AS prediction,
+       round(max(raw) FILTER (i = 0), 4) AS raw_0, round(max(raw) FILTER (i = 1), 4) AS raw_1
+FROM r GROUP BY doc_id"""
 
 
-def _judged_terms(spark, sf):
+def _judged_terms(spark, sf, binary: bool = False):
+    """Judged texts as counts of all their words, and the words in the order of the counts."""
     labels = table(spark, sf, "labels", ["doc_id", "quality"])
-    counter = feature.count_vectorizer_from_vocabulary(TERMS, "words", "features")
-    return counter.transform(words(spark, sf).join(labels, "doc_id")).select(
-        "doc_id", "features", F.col("quality").cast("double").alias("label")
-    )
+    df = words(spark, sf).join(labels, "doc_id")
+    counter = feature.count_vectorizer(input_col="words", output_col="features", binary=binary, min_df=1.0, vocab_size=2**31 - 1).fit(df)
+    counted = counter.transform(df).select("doc_id", "features", F.col("quality").cast("double").alias("label"))
+    return counted, attribute(counter, "vocabulary").select(F.col("idx").alias("j"), F.col("value").alias("term"))
+
+
+def _bayes_scores(spark, sf, model_type: str):
+    df, _ = _judged_terms(spark, sf, model_type == "bernoulli")
+    model = classification.naive_bayes(model_type=model_type).fit(df)
+    out = model.transform(df).select("doc_id", "prediction", *components("rawPrediction", ["raw_0", "raw_1"]))
+    return round_all(out, ["raw_0", "raw_1"], 4)
+
+
+@query(COUNTS_SQL + SCORED_SQL)
+def naive_bayes(spark, sf):
+    """Quality by the counts of all words."""
+    return _bayes_scores(spark, sf, "multinomial")
 
 
 @query(NB_SQL + """
-, s AS (SELECT doc_id, x.i, sum(x.x * theta.v) + any_value(pi.v) AS raw FROM
-        (SELECT doc_id, j, x, unnest([0, 1]) AS i FROM x) x JOIN theta ON theta.i = x.i AND theta.j = x.j
-        JOIN pi ON pi.i = x.i GROUP BY doc_id, x.i)
+c AS (SELECT y AS i, term, count(*) AS s FROM x GROUP BY y, term), n AS (SELECT y AS i, count(*) AS n FROM w GROUP BY y),
+p AS (SELECT i, term, (coalesce(s, 0) + 1) / (n + 2.0) AS p FROM classes JOIN terms ON true JOIN n USING (i) LEFT JOIN c USING (i, term)),
+none AS (SELECT i, sum(ln(1 - p)) AS none FROM p GROUP BY i),
+s AS (SELECT x.doc_id, p.i, sum(ln(p.p) - ln(1 - p.p)) AS part FROM x JOIN p ON p.term = x.term GROUP BY ALL),
+r AS (SELECT w.doc_id, pi.i, pi.v + none + coalesce(s.part, 0) AS raw FROM w JOIN pi ON true JOIN none USING (i)
+      LEFT JOIN s ON s.doc_id = w.doc_id AND s.i = pi.i)
 SELECT doc_id, (CASE WHEN max(raw) FILTER (i = 0) >= max(raw) FILTER (i = 1) THEN 0 ELSE 1 END)::DOUBLE AS prediction,
-       round(max(raw) FILTER (i = 0), 6) AS raw_0, round(max(raw) FILTER (i = 1), 6) AS raw_1
-FROM s GROUP BY doc_id""")
-def naive_bayes(spark, sf):
-    df = _judged_terms(spark, sf)
-    model = classification.naive_bayes().fit(df)
-    out = model.transform(df).select("doc_id", "prediction", *components("rawPrediction", ["raw_0", "raw_1"]))
-    return round_all(out, ["raw_0", "raw_1"])
+       round(max(raw) FILTER (i = 0), 4) AS raw_0, round(max(raw) FILTER (i = 1), 4) AS raw_1
+FROM r GROUP BY doc_id""")
+def naive_bayes_bernoulli(spark, sf):
+    """Quality by which words are there and which are not."""
+    return _bayes_scores(spark, sf, "bernoulli")
 
 
-@query(NB_SQL + "SELECT i::INT AS i, j::INT AS j, round(v, 8) AS value FROM theta")
+@query(NB_SQL + """
+c AS (SELECT y AS i, term, sum(x) AS s FROM x GROUP BY y, term), t AS (SELECT term, sum(s) AS s FROM c GROUP BY term),
+o AS (SELECT i, term, t.s - coalesce(c.s, 0) + 1 AS o FROM classes JOIN t ON true LEFT JOIN c USING (i, term)),
+l AS (SELECT i, term, ln(o / sum(o) OVER (PARTITION BY i)) AS l FROM o),
+s AS (SELECT x.doc_id, l.i, sum(x.x * -l.l) AS part FROM x JOIN l ON l.term = x.term GROUP BY ALL),
+z AS (SELECT w.doc_id, coalesce(max(part) FILTER (s.i = 0), 0) AS a, coalesce(max(part) FILTER (s.i = 1), 0) AS b
+      FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id),
+n AS (SELECT doc_id, a, b, greatest(a, b) + ln(1 + exp(-abs(a - b))) AS n FROM z)
+SELECT doc_id, round(a - n, 4) + 0.0 AS raw_0, round(b - n, 4) + 0.0 AS raw_1 FROM n""")
+def naive_bayes_complement(spark, sf):
+    """Each class by the words of all others."""
+    df, _ = _judged_terms(spark, sf)
+    out = classification.naive_bayes(model_type="complement").fit(df).transform(df)
+    return round_all(out.select("doc_id", *components("rawPrediction", ["raw_0", "raw_1"])), ["raw_0", "raw_1"], 4)
+
+
+@query(COUNTS_SQL + "SELECT i::INT AS i, term, round(v, 8) AS value FROM theta")
 def naive_bayes_theta(spark, sf):
-    model = classification.naive_bayes().fit(_judged_terms(spark, sf))
-    return round_all(attribute(model, "theta"), ["value"], 8)
+    df, terms = _judged_terms(spark, sf)
+    theta = attribute(classification.naive_bayes().fit(df), "theta")
+    return round_all(theta.join(terms, "j").select("i", "term", "value"), ["value"], 8)
 
 
-@query(NB_SQL + "SELECT i::INT AS idx, round(v, 8) AS value FROM pi")
+@query(NB_SQL + "one AS (SELECT 1) SELECT i::INT AS idx, round(v, 8) AS value FROM pi")
 def naive_bayes_prior(spark, sf):
-    model = classification.naive_bayes().fit(_judged_terms(spark, sf))
-    return round_all(attribute(model, "pi"), ["value"], 8)
+    df, _ = _judged_terms(spark, sf)
+    return round_all(attribute(classification.naive_bayes().fit(df), "pi"), ["value"], 8)
 
 
 @query("""

@@ -262,10 +262,10 @@ def stop_words_remover(spark, sf):
 
 
 @query(r"""
-SELECT doc_id, len(string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s'))::INT AS n FROM documents
-WHERE length(trim(text)) > 0""")
+SELECT doc_id, CASE WHEN text = '' THEN 1 WHEN trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = '' THEN 0
+       ELSE len(string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')) END::INT AS n FROM documents""")
 def tokenizer(spark, sf):
-    df = table(spark, sf, "documents", ["doc_id", "text"]).filter(F.length(F.trim("text")) > 0)
+    df = table(spark, sf, "documents", ["doc_id", "text"])
     out = feature.tokenizer(input_col="text", output_col="tokens").transform(df)
     return out.select("doc_id", F.size("tokens").alias("n"))
 
