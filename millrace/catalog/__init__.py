@@ -11,8 +11,9 @@ from . import (
     predictors,
     searches,
     states,
+    summaries,
     transformers,
 )
 from .registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "fits", "invariants", "patterns", "predictors", "searches", "states", "transformers"]
+__all__ = ["CHECKS", "QUERIES", "aggregates", "clusters", "estimators", "evaluators", "fits", "invariants", "patterns", "predictors", "searches", "states", "summaries", "transformers"]

@@ -424,7 +424,7 @@ def linear_regression_huber(spark, sf):
     return attribute(model, "scale")
 
 
-GLM_SQL = f"WITH d AS ({TEXT_SIZES_SQL}) SELECT lang, round(avg(n_words), 3) AS prediction, count(*) AS n FROM d WHERE n_words > 0 GROUP BY lang"
+GLM_SQL = f"WITH d AS ({TEXT_SIZES_SQL}) SELECT lang, round(avg(n_words), 3) AS prediction, count(*) AS n FROM d%s GROUP BY lang"
 LANGS = ["de", "es", "fr"]
 
 
@@ -435,20 +435,24 @@ def _lang_dummies(df):
 def _glm_query(name, expression="n_words", **params):
     """Saturated in the language: whatever family and link, the fit is the group mean."""
 
+    positive = params["family"] == "gamma"  # has no place for a zero
+
     def run(spark, sf):
-        df = _lang_dummies(text_sizes(spark, sf, some=True))
+        df = text_sizes(spark, sf, some=positive)
+        # equal rows once, with their number: the fit goes over them many times
+        pooled = _lang_dummies(df.groupBy("lang", "n_words").agg(F.count("*").cast("double").alias("weight")))
         op = regression.generalized_linear_regression(
-            label_col="n_words", max_iter=100, tol=1e-10, **params
+            label_col="n_words", weight_col="weight", max_iter=100, tol=1e-10, **params
         )
-        model = op.fit(assemble(df, LANGS, keep=["n_words"]))
+        model = op.fit(assemble(pooled, LANGS, keep=["n_words", "weight"]))
         if params["family"] == "tweedie":
-            scored = model.transform(assemble(df, LANGS, keep=["lang"]))
+            scored = model.transform(assemble(pooled, LANGS, keep=["lang", "weight"]))
         else:
-            scored = score(model, df, LANGS, ["lang"])
-        out = scored.groupBy("lang").agg(F.max("prediction").alias("prediction"), F.count("*").alias("n"))
+            scored = score(model, pooled, LANGS, ["lang", "weight"])
+        out = scored.groupBy("lang").agg(F.max("prediction").alias("prediction"), F.sum("weight").cast("bigint").alias("n"))
         return round_all(out, ["prediction"], 3)
 
-    query(GLM_SQL, name=name)(run)
+    query(GLM_SQL % (" WHERE n_words > 0" if positive else ""), name=name)(run)
 
 
 _glm_query("generalized_linear_regression", family="gaussian", link="identity")
@@ -498,11 +502,11 @@ def generalized_linear_regression_coefficients(spark, sf):
 
 
 @query(f"""
-WITH d AS ({TEXT_SIZES_SQL} WHERE len({WORDS_SQL}) > 0), m AS (SELECT lang, avg(n_words) AS m FROM d GROUP BY lang)
+WITH d AS ({TEXT_SIZES_SQL}), m AS (SELECT lang, avg(n_words) AS m FROM d GROUP BY lang)
 SELECT round((n_words - m) / sqrt(m), 4) + 0.0 AS residual FROM d JOIN m USING (lang)""")
 def generalized_linear_regression_residuals(spark, sf):
     """Pearson residuals of a poisson fit."""
-    df = _lang_dummies(text_sizes(spark, sf, some=True))
+    df = _lang_dummies(text_sizes(spark, sf))
     op = regression.generalized_linear_regression(label_col="n_words", family="poisson", max_iter=100, tol=1e-10)
     s = summary(op.fit(assemble(df, LANGS, keep=["n_words"])))
     residuals = attribute(s, "residuals", "pearson")

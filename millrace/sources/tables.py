@@ -14,14 +14,17 @@ def table(spark: SparkSession, folder: str, name: str, columns: Sequence[str] |
     return df if columns is None else df.select(*columns)
 
 
+#: A fixed number, so that what is learned from the parts does not change with the cluster's size.
+PARTS = 8
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A frame that comes in fewer partitions than there are cores, cut by ``keys``.
+    """A frame that comes in fewer than ``PARTS`` partitions, cut into so many by ``keys``.
 
     For work that is heavy per row or repeated (tokenizing, training). A table of many
     files has partitions enough and passes as it is, without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df if df.rdd.getNumPartitions() >= PARTS else df.repartition(PARTS, *keys)
 
 
 def numbers_from_text(text: str | Column, separator: str = ",") -> Column:
