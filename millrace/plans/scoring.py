@@ -6,9 +6,9 @@ numeric columns instead, so it runs inside generated code, filters push past it
 the columns it names are read. ``inputs`` are in the order they were assembled in.
 
 A null input gives null outputs where ``transform`` refuses it, so does NaN; else both give
-what ``transform`` gives. Expressions grow with classes times inputs: a classifier of many of both
-(640 products, say) is better scored with ``form="vector"``, the model's own transform with
-its outputs unpacked to the same columns. Which form runs is the caller's choice alone.
+what ``transform`` gives. Expressions grow with classes times inputs, so a classifier of more than
+``WIDE`` such products is scored in another form: the model's own transform with its outputs unpacked
+to the same columns, nulls for rows with a null among them. ``form`` takes either by name.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Inputs = Sequence[str | Column]
+#: Products of classes and inputs that a classifier is written out with; beyond it vectors are faster.
+WIDE = 160
 
 
 def columns(model: Any, inputs: Inputs) -> dict[str, Column]:
@@ -42,11 +44,14 @@ def columns(model: Any, inputs: Inputs) -> dict[str, Column]:
 
 
 def score(
-    model: Any, df: DataFrame, inputs: Inputs, keep: Sequence[str] = (), form: str = "columns"
+    model: Any, df: DataFrame, inputs: Inputs, keep: Sequence[str] = (), form: str | None = None
 ) -> DataFrame:
-    """``keep`` plus the scored columns, as expressions over the scan or (``form="vector"``)
-    by the model's transform. Classifiers and clusterers name their raw values once, in a
-    projection below, and refer to them, so their plans grow with classes times inputs."""
+    """``keep`` plus the scored columns, as expressions over the scan (``form="columns"``) or
+    by the model's transform (``"vector"``; the default of wide classifiers). Classifiers and
+    clusterers name their raw values once, in a projection below, and refer to them, so their
+    plans grow with classes times inputs."""
+    if form is None:
+        form = "vector" if wide(model, len(inputs)) else "columns"
     if form == "vector":
         return _by_transform(model, df, inputs, keep)
     if form != "columns":
@@ -69,18 +74,25 @@ def score(
     return frame.select(*keep, *[c.alias(n) for n, c in out.items()])
 
 
+def wide(model: Any, inputs: int) -> bool:
+    """Whether a model is a classifier of more than ``WIDE`` products of classes and inputs."""
+    return isinstance(model, tuple(kind for kind, _ in _STAGED)) and getattr(model, "numClasses", 0) * inputs > WIDE
+
+
 def _by_transform(model: Any, df: DataFrame, inputs: Inputs, keep: Sequence[str]) -> DataFrame:
     from ..functions.vectors import vector_to_array
 
     xs = [(F.col(x) if isinstance(x, str) else x).cast("double") for x in inputs]
-    packed = df.select(*keep, array_to_vector(F.array(*xs)).alias(model.getFeaturesCol()))
+    there = reduce(lambda a, b: a & b, [x.isNotNull() for x in xs])
+    filled = F.array(*[F.coalesce(x, F.lit(0.0)) for x in xs])  # a transform stops at a null
+    packed = df.select(*keep, array_to_vector(filled).alias(model.getFeaturesCol()), there.alias("_whole_row"))
     done = model.transform(packed)
-    out = [F.col(model.getPredictionCol())]
+    out = [F.when(F.col("_whole_row"), F.col(model.getPredictionCol())).alias(model.getPredictionCol())]
     for name in ("probabilityCol", "rawPredictionCol"):
         if model.hasParam(name):
             column = model.getOrDefault(name)
             array = vector_to_array(column)
-            out += [array[i].alias(f"{column}_{i}") for i in range(model.numClasses)]
+            out += [F.when(F.col("_whole_row"), array[i]).alias(f"{column}_{i}") for i in range(model.numClasses)]
     return done.select(*keep, *out)
 
 

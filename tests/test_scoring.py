@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.vectors import assemble, vector_to_array
 from millrace.operators import classification, clustering, feature, regression
+from millrace.plans import scoring
 from millrace.plans.scoring import columns, score
 
 INPUTS = ["l_quantity", "l_price", "l_discount"]
@@ -192,3 +193,18 @@ def test_unknown_form(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(ValueError, match="form"):
         score(feature.binarizer(input_col="x", output_col="b"), df, ["x"], form="other")
+
+
+def test_wide_classifiers_go_by_vectors_and_nulls_stay_null(spark, monkeypatch):
+    df = spark.range(60).select((F.col("id") % 4).cast("double").alias("label"), *[
+        F.when(F.col("id") != 7 + i, F.sin(F.col("id") * (i + 1))).alias(f"x{i}") for i in range(5)])
+    names = [f"x{i}" for i in range(5)]
+    model = classification.logistic_regression(max_iter=5).fit(assemble(df.na.fill(0.0), names, keep=["label"]))
+    assert not scoring.wide(model, 5)
+    monkeypatch.setattr(scoring, "WIDE", 19)
+    assert scoring.wide(model, 5)
+    order = lambda rows: sorted(map(str, rows))
+    whole = score(model, df, names, ["label"])
+    rounded = lambda out: out.select(*[F.round(c, 9).alias(c) for c in sorted(out.columns)])
+    assert order(rounded(whole).collect()) == order(rounded(score(model, df, names, ["label"], form="columns")).collect())
+    assert whole.where("prediction IS NULL").count() == 5

@@ -138,3 +138,21 @@ def test_min_hash_refuses_an_empty_set(spark):
     model = feature.min_hash_lsh(input_col="s", output_col="h", seed=1)
     with pytest.raises(Exception, match="non zero|nonzero|at least 1"):
         model.fit(df).transform(df).collect()
+
+
+def test_the_bucket_for_a_recall(spark):
+    draw = np.random.default_rng(3)
+    for threshold, dims, tables, recall in ((1.0, 16, 4, 0.9), (0.3, 64, 12, 0.97)):
+        bucket = similarity.bucket_for(threshold, dims, tables, recall)
+        assert similarity.bucket_for(threshold, dims, tables, recall - 0.1) < bucket
+        met = 0
+        for _ in range(400):
+            away = draw.normal(size=dims)
+            away *= threshold / np.linalg.norm(away)
+            base = draw.normal(size=dims) * 10
+            units = draw.normal(size=(tables, dims))
+            units /= np.linalg.norm(units, axis=1, keepdims=True)
+            met += bool((np.floor(units @ base / bucket) == np.floor(units @ (base + away) / bucket)).any())
+        assert abs(met / 400 - recall) < 0.05
+    with pytest.raises(ValueError, match="recall"):
+        similarity.bucket_for(1.0, 2, 2, 1.0)
