@@ -3,13 +3,16 @@
 All license templates go into one suffix automaton over words. A text streams through it
 once; after each word the automaton holds the longest run of words that ends there and
 stands in some template (the matching statistics). Long runs that cannot be grown are then
-chained, template by template, into spans; a span whose matched words make up enough of
-the template gives its label. Phrases that must be found wherever they stand are templates
+chained, template by template, into spans: a run may stand at several places of a template, and
+the chain of most matched words, in order on both sides, is found by dynamic programming. A span
+whose matched words make up enough of the template gives its label; where those of
+several templates lie on each other, the one that is covered best. Phrases that must be found wherever they stand are templates
 too, and are read off the same states.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 from collections.abc import Mapping
 
@@ -65,6 +68,34 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
         "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
+    "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version. This library is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+        "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+        "use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
     "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc": "Licensed under CC BY-NC 4.0",
 }
@@ -78,14 +109,14 @@ LEAST_COVER = 0.5
 class Automaton:
     """A generalised suffix automaton of word sequences.
 
-    ``ends[state]`` says for each sequence that holds the state's words where they end in it
-    first; ``phrases[state]`` which phrases end the state's words.
+    ``ends[state]`` says for each sequence that holds the state's words at which words they end in
+    it, all of them in order; ``phrases[state]`` which phrases end the state's words.
     """
 
     def __init__(self, templates: Mapping[str, str], phrases: Mapping[str, str]) -> None:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.size = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[dict[int, tuple[int, ...]]] = [{}]
         self.ids: dict[bytes, int] = {}
         self.names, self.lengths = list(templates), []
         for k, text in enumerate(templates.values()):
@@ -99,8 +130,8 @@ class Automaton:
             self._add(tokens, None)
         for state in sorted(range(1, len(self.size)), key=self.size.__getitem__, reverse=True):
             above = self.ends[self.link[state]]
-            for k, end in self.ends[state].items():
-                above[k] = min(end, above.get(k, end))
+            for k, ends in self.ends[state].items():
+                above[k] = tuple(sorted({*ends, *above.get(k, ())}))
         holds: list[list[tuple[int, str]]] = [[] for _ in self.size]
         for tokens, label in own:
             state = 0
@@ -143,7 +174,7 @@ class Automaton:
                     self.link[new] = self._split(state, self.next[state][token], token)
                 last = new
             if sequence is not None:
-                self.ends[last].setdefault(sequence, end)
+                self.ends[last][sequence] = (*self.ends[last].get(sequence, ()), end)
 
     def stream(self, text: list[bytes]) -> tuple[list[tuple[int, int, int]], list[tuple[int, str]]]:
         """Matches that cannot be grown, as (start, end, state), and phrases, as (start, label)."""
@@ -178,41 +209,60 @@ class Automaton:
 
     def spans(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, int]]:
         """Chains of one template's matches, in order on both sides, that cover enough of it:
-        (label, first word, word after the last, matched words)."""
-        open_: dict[int, list[int]] = {}
-        done = []
-
-        def close(k: int) -> None:
-            start, end, _, matched = open_.pop(k)
-            if matched >= LEAST_COVER * self.lengths[k]:
-                done.append((self.names[k], start, end, matched))
-
+        (label, first word, word after the last, matched words). Chains of one template never
+        overlap, and of chains of several templates that share over half of the shorter one the
+        better covered stays."""
+        of_template: dict[int, list[tuple[int, int, tuple[int, ...]]]] = {}
         for start, end, state in matches:
-            for k, position in self.ends[state].items():
-                chain = open_.get(k)
-                if chain and not (start - chain[1] <= MOST_GAP and position > chain[2]):
-                    close(k)
-                    chain = None
-                if chain is None:
-                    open_[k] = [start, end, position, end - start]
-                else:
-                    chain[3] += end - max(start, chain[1])
-                    chain[1:3] = end, position
-        for k in list(open_):
-            close(k)
+            for k, places in self.ends[state].items():
+                of_template.setdefault(k, []).append((start, end, places))
+        found = []
+        for k, own in of_template.items():
+            # the best chain that ends with each match at each of its places in the template
+            chains: list[tuple[int, int, int, int]] = []  # first word, word after the last, place, matched
+            for start, end, places in own:
+                near = []
+                for chain in reversed(chains):
+                    if chain[1] < start - MOST_GAP:
+                        break  # matches come in the order of their ends
+                    near.append(chain)
+                for place in places:
+                    best = (start, end, place, end - start)
+                    for first, stop, before, matched in near:
+                        new = end - max(start, stop)
+                        if stop < end and place - before >= new and matched + new > best[3]:
+                            best = (first, end, place, matched + new)
+                    chains.append(best)
+            taken: list[tuple[int, int]] = []
+            for first, stop, _, matched in sorted(chains, key=lambda c: (-c[3], c[0])):
+                if matched < LEAST_COVER * self.lengths[k]:
+                    break
+                at = bisect.bisect(taken, (first, stop))
+                if (at == 0 or taken[at - 1][1] <= first) and (at == len(taken) or taken[at][0] >= stop):
+                    taken.insert(at, (first, stop))
+                    found.append((matched / self.lengths[k], matched, k, first, stop))
+        kept: list[tuple[int, int]] = []
+        done = []
+        for _, matched, k, first, stop in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[3])):
+            at = bisect.bisect(kept, (first, stop))
+            if all(2 * (min(stop, b) - max(first, a)) <= min(stop - first, b - a) for a, b in kept[max(0, at - 2):at + 2]):
+                kept.insert(at, (first, stop))
+                done.append((self.names[k], first, stop, matched))
         return sorted(done, key=lambda s: s[1:])
 
 
 @functools.cache
-def automaton() -> Automaton:
-    return Automaton(TEMPLATES, PHRASES)
+def automaton(templates: tuple[tuple[str, str], ...] | None = None) -> Automaton:
+    """The automaton of templates ``(label, text)``, by default of all above, once for a worker."""
+    return Automaton(TEMPLATES if templates is None else dict(templates), PHRASES)
 
 
-def scan(text: bytes) -> dict:
+def scan(text: bytes, templates: tuple[tuple[str, str], ...] | None = None) -> dict:
     """What ``license_spans`` gives of one text."""
     found = words(text)
-    matches, phrases = automaton().stream(found)
-    spans = automaton().spans(matches) if matches else []
+    own = automaton(templates)
+    matches, phrases = own.stream(found)
+    spans = own.spans(matches) if matches else []
     sizes = {label: len(phrase.split()) for phrase, label in PHRASES.items()}
     covered = 0
     upto = 0
@@ -241,18 +291,22 @@ _SCHEMA = (
 )
 
 
-def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, str] | None = None,
+) -> DataFrame:
     """License phrases and covered template spans of every whole text.
 
-    ``n_base`` counts all places of ``PHRASES``, ``first_word`` and ``last_word`` are their
+    ``templates`` are notices by label (a small table; ``TEMPLATES`` if none are given). ``n_base`` counts all places of ``PHRASES``, ``first_word`` and ``last_word`` are their
     first and last starting words; ``spans`` are the covered stretches of ``TEMPLATES`` in
     words, ``labels`` those of both, ``score`` the share of the text's words they cover.
     Null, empty and wordless texts have no words, no labels and the score 0. One row a row;
     rows with equal or null ids stay separate; other columns are not read.
     """
+    table = None if templates is None else tuple(templates.items())
+
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [scan(t) for t in bytes_of(batch.column(1))]
+            rows = [scan(t, table) for t in bytes_of(batch.column(1))]
             made = [pa.array([r[n] for r in rows], kind) for n, kind in _TYPES.items()]
             return pa.RecordBatch.from_arrays([batch.column(0), *made], ["doc_id", *_TYPES])
 
