@@ -8,7 +8,6 @@ of names that would have worked, and only params that were given are set.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from typing import Any
 
@@ -19,8 +18,12 @@ from pyspark.ml.param import Param, Params
 
 def snake(name: str) -> str:
     """``maxBlockSizeInMB`` -> ``max_block_size_in_mb``; snake_case passes through."""
-    name = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name).lower()
+    out = ""
+    for before, letter, after in zip(" " + name, name, name[1:] + " "):
+        # a capital begins a word, unless it stands inside or at the end of a run of capitals
+        starts = letter.isupper() and before not in " _" and not (before.isupper() and not after.islower())
+        out += "_" * starts + letter.lower()
+    return out
 
 
 def param_names(cls: type[Params]) -> dict[str, str]:
