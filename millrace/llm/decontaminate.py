@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
@@ -173,11 +173,17 @@ def _hashes_at(numbers: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def blocks(benchmark: DataFrame, docs: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> list[Items]:
-    """The test items in blocks of about ``BLOCK_BYTES``, with seeds chosen by their rarity in
-    ``docs(doc_id, text)``. Items without a word are left out: nothing can hold them."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.encode(F.col(item_text_col).cast("string"), "UTF-8").alias("text"))
-    items = items.where("text IS NOT NULL")
+def _key(text_col: str) -> Column:
+    """What a test item is known by: a hash of its text."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def blocks(benchmark: DataFrame, docs: DataFrame, item_text_col: str = "text") -> list[Items]:
+    """The distinct texts of the test set in blocks of about ``BLOCK_BYTES``, known by their hashes, with
+    seeds chosen by their rarity in ``docs(doc_id, text)``. Items without a word are left out:
+    nothing can hold them."""
+    items = benchmark.select(_key(item_text_col).alias("item"), F.encode(F.col(item_text_col).cast("string"), "UTF-8").alias("text"))
+    items = items.where("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, math.ceil(size / BLOCK_BYTES))
     out = []
@@ -225,10 +231,10 @@ def contaminated(
     checkpoint_root(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col)
     found = None
-    names = ["doc_id", "item_id", "score", "first_word", "stop_word"]
-    schema = "doc_id long, item_id long, score double, first_word long, stop_word long"
+    names = ["doc_id", "item", "score", "first_word", "stop_word"]
+    schema = "doc_id long, item long, score double, first_word long, stop_word long"
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-    for block in blocks(benchmark, texts, item_col, item_text_col):
+    for block in blocks(benchmark, texts, item_text_col):
         def start(block: Items = block):
             memo: dict = {}
 
@@ -244,16 +250,18 @@ def contaminated(
 
         part = in_batches(texts, schema, start)
         found = part if found is None else found.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if found is None else found
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], schema)
+    named = benchmark.select(_key(item_text_col).alias("item"), F.col(item_col).cast("long").alias("item_id"))
+    return found.join(named, "item").select("doc_id", "item_id", *names[2:])
 
 
 def keep_clean(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text",
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item, all columns as they are."""
     place = docs.columns.index(text_col)
-    for block in blocks(benchmark, id_and_text(docs, id_col, text_col), item_col, item_text_col):
+    for block in blocks(benchmark, id_and_text(docs, id_col, text_col), item_text_col):
         def start(block: Items = block):
             memo: dict = {}
 
