@@ -11,8 +11,15 @@ folded into their fingerprint first.
 of their distinct five-word shingles, by the prefix filter of set joins, which loses none:
 if the shingles of every text stand in one common order, two such texts share one of the
 first ``n - ceil(SIMILAR * n) + 1`` of either. Rare ones come first, by a sketch of counts, so
-that few texts meet that are not alike. Those who meet are linked star by star first, and then
-every pair that is not yet in one component is compared.
+that few texts meet that are not alike. Of a pair the smaller text must share one of its first
+``n - ceil(n * 2 SIMILAR / (1 + SIMILAR)) + 1`` even, so a shingle brings texts together only where one
+of them holds it that early, and only texts of neighbouring size bands: pages of one template that
+are not near copies differ in more shingles than that and never meet. Those who meet are linked
+star by star first, and then every pair that is not yet in one component is compared.
+
+Texts are cut into shingles three times: once for their identity and the sketch, once for their
+prefixes, and those in a pair that has to be compared once more, so no table of all shingles is
+written.
 """
 
 from __future__ import annotations
@@ -28,20 +35,24 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 from .components import components
-from .text import bytes_of, id_and_text, in_batches, slices
+from .text import bytes_of, id_and_text, in_batches, slices, written
 
 BITS = 64
 SEED = 42
 #: Jaccard similarity of near copies, on distinct shingles of so many words.
 SIMILAR, SHINGLE = 0.8, 5
 #: Slots of the sketch that puts shingles in order; it decides how many texts meet, not which are found.
-SLOTS = 1 << 20
+SLOTS, BLOCK_SLOTS = 1 << 20, 1 << 14
+#: So much of the smaller of two near copies they share at least.
+EARLY = 2 * SIMILAR / (1 + SIMILAR)
 #: Texts of a bucket that are compared with each other in one group of a join.
 PART = 256
+#: Sets that are compared with one set by one task.
+HELD = 4096
 #: Stars are drawn anew while more pairs than so many times the rows of the buckets are left.
 LEFT = 4
-#: So many ids are broadcast to find the texts to compare (16 MB); more are joined by shuffle.
-BROADCAST = 1_000_000
+#: So many ids are broadcast to find texts (some 30 MB as a hash relation); more are joined by shuffle.
+BROADCAST = 500_000
 
 
 def fingerprint(text: bytes, size: int = 3) -> int:
@@ -121,68 +132,85 @@ def set_hash(own: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)).view(np.int64))
 
 
-def text_nodes(texts: DataFrame) -> DataFrame:
-    """``(doc_id, hash, node)``: a row per row of ``texts(doc_id, hash, text)``."""
+def shingled(texts: DataFrame) -> DataFrame:
+    """``(doc_id, hash, node, block, counts)``: a row per row of ``texts(doc_id, hash, text)`` with its
+    set of shingles as ``node``, and rows of a task's counts of shingles by slot, block by block."""
+    schema = "doc_id long, hash long, node long, block int, counts binary"
 
-    def start():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [set_hash(shingles(t)) for t in bytes_of(batch.column(2))]
-            return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.int64())], ["doc_id", "hash", "node"])
-
-        return step
-
-    return in_batches(texts, "doc_id long, hash long, node long", start)
-
-
-def _unseen(texts: list[bytes], seen: set[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """The nodes of texts and their shingles, mostly once a task: a memory of bounded size."""
-    for text in texts:
-        own = shingles(text)
-        node = set_hash(own)
-        if node not in seen:
-            if len(seen) >= 100_000:
-                seen.clear()
-            seen.add(node)
-            yield node, own
-
-
-def sketch(texts: DataFrame) -> np.ndarray:
-    """About how many texts hold the shingles of each slot: 0 for one at most, then by sixteenths of a power of two."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(SLOTS, dtype=np.int64), set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(SLOTS, dtype=np.int32), set()
         for batch in slices(batches):
-            for _, own in _unseen(bytes_of(batch.column(0)), seen):
-                np.add.at(total, own & (SLOTS - 1), 1)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["slot", "n"])
-
-    held = texts.select("text").mapInArrow(counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1")
-    found = held.select("slot", F.least(F.lit(255), F.round(16 * F.log2("n"))).cast("short").alias("level")).toArrow()
-    levels = np.zeros(SLOTS, dtype=np.uint8)
-    levels[found["slot"].to_numpy()] = found["level"].to_numpy().astype(np.uint8)
-    return levels
+            nodes = []
+            for text in bytes_of(batch.column(2)):
+                own = shingles(text)
+                nodes.append(set_hash(own))
+                if nodes[-1] not in seen:
+                    if len(seen) >= 100_000:
+                        seen.clear()
+                    seen.add(nodes[-1])
+                    np.add.at(total, own & (SLOTS - 1), 1)
+            count = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(nodes, pa.int64()), pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary())], _names(schema))
+        blocks = [(i, b) for i, b in enumerate(total.reshape(-1, BLOCK_SLOTS)) if b.any()]
+        none = pa.nulls(len(blocks), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [none, none, none, pa.array([i for i, _ in blocks], pa.int32()), pa.array([b.tobytes() for _, b in blocks], pa.binary())], _names(schema))
+
+    return texts.mapInArrow(run, schema)
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def sketch(marked: DataFrame) -> np.ndarray:
+    """About how many texts hold the shingles of each slot: 0 for one at most, then by sixteenths of a
+    power of two. The blocks of counts that tasks left in ``shingled`` are summed by tasks."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(counts.as_buffer(), dtype=np.int32).astype(np.int64)
+                totals[block] = totals[block] + own if block in totals else own
+        levels = [np.minimum(255, np.round(16 * np.log2(np.maximum(t, 1)))).astype(np.uint8).tobytes() for t in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(levels, pa.binary())], ["block", "levels"])
+
+    blocks = marked.where("block IS NOT NULL").select("block", "counts").repartition("block")
+    levels = np.zeros((SLOTS // BLOCK_SLOTS, BLOCK_SLOTS), dtype=np.uint8)
+    for row in blocks.mapInArrow(summed, "block int, levels binary").collect():  # a byte for each slot
+        levels[row.block] = np.frombuffer(row.levels, dtype=np.uint8)
+    return levels.ravel()
 
 
 def prefixes(texts: DataFrame, levels: np.ndarray) -> DataFrame:
-    """``(key, node, size, at)``: the shingles by which a text must meet any near copy, their
-    places in its order, and how many it has. What only one text can hold is left out."""
-    schema = "key long, node long, size int, at int"
+    """``(key, node, size, at, low)``: the shingles by which a text must meet any near copy, their
+    places in its order, how many it has, and whether it may meet larger ones there. What only one
+    text can hold is left out. Equal texts are mostly given once."""
+    schema = "key long, node long, size int, at int, low boolean"
 
     def start():
         seen: set[int] = set()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for node, own in _unseen(bytes_of(batch.column(0)), seen):
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for text in bytes_of(batch.column(0)):
+                own = shingles(text)
+                node, size = set_hash(own), len(own)
+                if node in seen:
+                    continue
+                if len(seen) >= 100_000:
+                    seen.clear()
+                seen.add(node)
                 level = levels[own & (SLOTS - 1)]
-                order = np.lexsort((own, level))[:len(own) - math.ceil(SIMILAR * len(own) - 1e-9) + 1]
+                order = np.lexsort((own, level))[:size - math.ceil(SIMILAR * size - 1e-9) + 1]
                 at = np.flatnonzero(level[order])
-                for column, values in zip(out, (own[order[at]], np.full(len(at), node), np.full(len(at), len(own)), at)):
+                low = at <= size - math.ceil(EARLY * size - 1e-9)
+                for column, values in zip(out, (own[order[at]], np.full(len(at), node), np.full(len(at), size), at, low)):
                     column.append(values)
-            kinds = (np.int64, np.int64, np.int32, np.int32)
+            kinds = (np.int64, np.int64, np.int32, np.int32, np.bool_)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(k) if c else np.zeros(0, k)) for c, k in zip(out, kinds)], ["key", "node", "size", "at"])
+                [pa.array(np.concatenate(c).astype(k) if c else np.zeros(0, k)) for c, k in zip(out, kinds)], _names(schema))
 
         return step
 
@@ -198,101 +226,136 @@ def _fit(a: str, b: str) -> Column:
         shared >= SIMILAR / (1 + SIMILAR) * (size + other) - 1e-9)
 
 
+def meetings(rows: DataFrame) -> DataFrame:
+    """``(key, band, node, size, at, low)``: the buckets of ``prefixes`` in which two texts can meet.
+
+    A text is in the bucket of its own size band, and one that may meet larger ones also in the
+    next band's, since no near copy is larger than that.
+    """
+    two = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.max("low").alias("low"))
+    met = rows.join(two.where("a < b AND low").select("key"), "key", "left_semi").distinct()
+    band = F.floor(F.log("size") / math.log(1 / SIMILAR)).cast("int")
+    bands = F.when(F.col("low"), F.array(band, band + 1)).otherwise(F.array(band))
+    return met.select("key", F.explode(bands).alias("band"), "node", "size", "at", "low")
+
+
 def _stars(buckets: DataFrame, turn: int) -> DataFrame:
-    """``(a, b)``: in every bucket each text with a first one, drawn anew each turn, and the one before it."""
-    met = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    """``(a, b)``: in every bucket each text with a first one ``b``, drawn anew each turn."""
+    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "root", "size", "at")
+    hubs = buckets.where("low").groupBy("key", "band").agg(F.min(drawn).alias("x"))
     own = F.struct("node", "root", "size", "at")
     return (
-        buckets.select(own.alias("y"), F.lag(own).over(met).alias("last"), F.first(own).over(met).alias("first"))
-        .where("last IS NOT NULL")
-        .select("y", F.explode(F.array("first", "last")).alias("x"))
+        buckets.select("key", "band", own.alias("y")).join(hubs, ["key", "band"])
         .where((F.col("x.root") != F.col("y.root")) & _fit("x", "y"))
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .distinct()
+        .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
     )
 
 
 def _pairs(buckets: DataFrame) -> DataFrame:
-    """``(a, b)``: all pairs of a bucket that are in two components. Buckets are dealt out in
-    parts of bounded size and every two parts meet in a group of their own."""
-    met = Window.partitionBy("key")
-    parts = buckets.select(
-        "key", F.struct("node", "root", "size", "at").alias("x"), F.count("*").over(met).alias("n"),
-        ((F.row_number().over(met.orderBy("node")) - 1) / PART).cast("int").alias("part"))
-    last = ((F.col("n") - 1) / PART).cast("int")
-    left = parts.select("key", "x", F.col("part").alias("low"), F.explode(F.sequence("part", last)).alias("high"))
-    right = parts.select("key", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.col("part"))).alias("low"), F.col("part").alias("high"))
+    """``(a, b)``: all pairs of a bucket that are in two components, one of them early enough. Buckets
+    are dealt out in parts of about a bounded size and every two parts meet in a group of their own."""
+    counts = buckets.groupBy("key", "band").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    own = F.struct("node", "root", "size", "at")
+    dealt = buckets.join(counts, ["key", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = dealt.where("low").select("key", "band", own.alias("x"), F.col("part").alias("p"), every.alias("q"))
+    right = dealt.select("key", "band", own.alias("y"), F.col("part").alias("q"), every.alias("p"))
     return (
-        left.join(right, ["key", "low", "high"])
-        .where((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _fit("x", "y"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        left.join(right, ["key", "band", "p", "q"])
+        .where((F.col("x.size") <= F.col("y.size")) & (F.col("x.root") != F.col("y.root")) & _fit("x", "y"))
+        .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
         .distinct()
     )
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` that share enough of their shingles, ``sets(node, set)``."""
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared >= SIMILAR * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
+def _alike(pairs: DataFrame, texts: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` that share enough of their shingles.
 
-
-def near_copies(texts: DataFrame, firsts: DataFrame) -> DataFrame:
+    Sets of shingles travel once: that of ``a`` to each of its ``b``, where one task holds the set of
+    ``b`` and reads the others one by one. A ``b`` of many pairs is held by several tasks.
+    """
+    many = pairs.groupBy("b").agg(F.ceil(F.count("*") / HELD).cast("int").alias("parts"))
+    sent = pairs.join(many, "b").select(F.col("a").alias("node"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    to = F.struct(F.col("b"), F.col("part"))
+    own = many.select(F.col("b").alias("node"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    asked = sent.unionByName(own).groupBy("node").agg(F.collect_list(to).alias("to"))
+    named = asked.join(firsts, "node").select(F.col("first").alias("doc_id"), "node", "to").checkpoint()
+    total = named.agg((F.count("*") + F.coalesce(F.sum(F.size("to")), F.lit(0))).alias("n")).first().n
+    wanted = texts.select("doc_id", "text").join(F.broadcast(named) if total <= BROADCAST else named, "doc_id")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                node, own = batch.column(0)[i].as_py(), shingles(bytes_of(batch.column(2).slice(i, 1))[0])
+                if set_hash(own) == node:  # a repeated id may have other texts than the one that is meant
+                    to = batch.column(1)[i].as_py()
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([t["b"] for t in to], pa.int64()), pa.array([t["part"] for t in to], pa.int32()),
+                        pa.array([t["b"] != node for t in to]), pa.array([node] * len(to), pa.int64()),
+                        pa.array([own.tobytes()] * len(to), pa.binary())], _names(schema))
+
+    schema = "b long, part int, other boolean, node long, set binary"
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, there = None, np.zeros(0, dtype=np.int64)
+        for batch in batches:
+            a, b = [], []
+            for hub, part, other, node, own in zip(*(batch.column(i) for i in range(5))):
+                hub, own = (hub.as_py(), part.as_py()), np.frombuffer(own.as_buffer(), dtype=np.int64)
+                if not other.as_py():
+                    held, there = hub, own
+                elif hub == held:
+                    shared = len(np.intersect1d(own, there, assume_unique=True))
+                    if shared >= SIMILAR * (len(own) + len(there) - shared) - 1e-9:
+                        a.append(node.as_py())
+                        b.append(hub[0])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    sets = wanted.select("node", "to", "text").mapInArrow(cut, schema).repartition("b", "part")
+    return sets.sortWithinPartitions("b", "part", "other").mapInArrow(compared, "a long, b long").distinct()
+
+
+def near_copies(texts: DataFrame, firsts: DataFrame, levels: np.ndarray) -> DataFrame:
     """``(node, root)`` for every text with a near copy: equal roots, joined by pairs of near copies.
 
     Every pair of ``texts(doc_id, text)`` that shares ``SIMILAR`` of its shingles is in one
     component, and every component is held together by such pairs. ``firsts(node, first)``
     names a document for each set of shingles.
     """
-    met = Window.partitionBy("key")
-    rows = prefixes(texts, sketch(texts)).repartition("key").dropDuplicates(["key", "node"])
-    buckets = rows.withColumn("n", F.count("*").over(met)).where("n > 1").drop("n").checkpoint()
-    chosen = firsts.join(buckets.select("node").distinct(), "node").select("node", F.col("first").alias("doc_id")).checkpoint()
-    if chosen.count() <= BROADCAST:
-        chosen = F.broadcast(chosen)
-
-    def start():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            # a repeated id may have other texts than the one that is meant
-            own = [shingles(t) for t in bytes_of(batch.column(1))]
-            found = [(node, s) for node, s in zip(batch.column(0).to_pylist(), own) if set_hash(s) == node]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["node", "set"])
-
-        return step
-
-    wanted = texts.join(chosen, "doc_id").select("node", "text")
-    sets = in_batches(wanted, "node long, set array<long>", start).dropDuplicates(["node"]).checkpoint()
-    links = sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    roots, apart = components(links), _apart(buckets, None)
-    left, rows = _left(apart), buckets.count()
-    turn = 0
-    while left > LEFT * rows:  # only saves pairs: whatever the stars leave is compared below
-        links = links.unionByName(_alike(_stars(apart, turn), sets)).checkpoint()
+    rows = written(prefixes(texts, levels), "prefixes")
+    buckets = written(meetings(rows), "meetings")
+    apart = buckets.withColumn("root", F.col("node"))
+    links, turn, left, size = None, 0, None, buckets.count()
+    while left is None or left > LEFT * size:  # only saves pairs: whatever the stars leave is compared below
+        found = _alike(_stars(apart, turn).checkpoint(), texts, firsts).checkpoint()
+        links = found if links is None else links.unionByName(found).checkpoint()
         roots = components(links)
         apart = _apart(buckets, roots)
         before, left = left, _left(apart)
         turn += 1
-        if left > before / 2:
+        if before is not None and left > before / 2:
             break
-    return components(links.unionByName(_alike(_pairs(apart), sets)))
+    if left:
+        links = links.unionByName(_alike(_pairs(apart).checkpoint(), texts, firsts))
+        roots = components(links)
+    return roots
 
 
-def _apart(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _apart(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """``buckets`` with the component of each text, those that are not yet in one component."""
-    if roots is None:
-        return buckets.withColumn("root", F.col("node"))
-    met = Window.partitionBy("key")
-    named = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = named.withColumn("low", F.min("root").over(met)).withColumn("high", F.max("root").over(met))
-    return ends.where("low != high").drop("low", "high").checkpoint()
+    named = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).checkpoint()
+    ends = named.groupBy("key", "band").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root"), F.max("low").alias("any_low"))
+    open_ones = ends.where("low_root < high_root AND any_low").select("key", "band")
+    return named.join(open_ones, ["key", "band"], "left_semi").checkpoint()
 
 
 def _left(buckets: DataFrame) -> int:
     """How many pairs of two components are in the buckets, each counted where it meets."""
-    of_root = buckets.groupBy("key", "root").agg(F.count("*").alias("n"))
-    of_key = of_root.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    return of_key.agg(F.sum(((F.col("all") * F.col("all") - F.col("same")) / 2).cast("long"))).first()[0] or 0
+    early = F.sum(F.col("low").cast("long"))
+    of_root = buckets.groupBy("key", "band", "root").agg(F.count("*").alias("n"), early.alias("low"))
+    of_key = of_root.groupBy("key", "band").agg(
+        F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum(F.col("n") * F.col("low")).alias("same"))
+    return of_key.agg(F.sum(F.col("n") * F.col("low") - F.col("same"))).first()[0] or 0
 
 
 def simhash_groups(
@@ -330,19 +393,24 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     named by: they are in no group and all stay.
     """
     checkpoint_root(docs.sparkSession)
+    text_hash = lambda column: F.xxhash64(column.cast("string"))
     named = docs.where(F.col(id_col).isNotNull())
-    texts = id_and_text(named, id_col, text_col).select("doc_id", F.xxhash64("text").alias("hash"), "text")
-    nodes = text_nodes(texts).checkpoint()
-    firsts = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("row"))
-    roots = near_copies(texts, firsts.select("node", F.col("row.doc_id").alias("first")))
+    texts = id_and_text(named, id_col, text_col).select("doc_id", text_hash(F.col("text")).alias("hash"), "text")
+    marked = written(shingled(texts), "shingled")
+    nodes = marked.where("block IS NULL").select("doc_id", "hash", "node")
+    firsts = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("row")).checkpoint()
+    roots = near_copies(texts, firsts.select("node", F.col("row.doc_id").alias("first")), sketch(marked))
     best = firsts.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row"))
     rows = nodes.groupBy("doc_id", "hash").agg(F.count("*").alias("rows"))
-    kept = best.select("row.doc_id", "row.hash").join(rows, ["doc_id", "hash"]).checkpoint()
-    own, text = docs[id_col].cast("long"), F.xxhash64(docs[text_col].cast("string"))
-    single, repeated = kept.where("rows = 1"), kept.where("rows > 1")
-    same = lambda rows: (own == rows["doc_id"]) & (text == rows["hash"])
-    return (
-        docs.join(single, same(single), "left_semi")
-        .unionByName(docs.join(repeated, same(repeated), "left_semi").dropDuplicates([id_col, text_col]))
-        .unionByName(docs.where(docs[id_col].isNull()))
-    )
+    kept = best.select("row.doc_id", "row.hash", F.lit(True).alias("kept"))
+    fate = rows.join(kept, ["doc_id", "hash"], "left").where("kept IS NULL OR rows > 1").checkpoint()
+    counts = fate.agg(F.count("*").alias("n"), F.count("kept").alias("repeated")).first()
+    marks = fate.select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"), F.col("kept").alias("_kept"))
+    if counts.n <= BROADCAST:
+        marks = F.broadcast(marks)
+    same = lambda some: (docs[id_col].cast("long") == some["_doc"]) & (text_hash(docs[text_col]) == some["_hash"])
+    single = docs.join(marks, same(marks), "left_anti")  # rows without an id match nothing and stay
+    if not counts.repeated:
+        return single
+    repeated = marks.where("_kept")
+    return single.unionByName(docs.join(repeated, same(repeated), "left_semi").dropDuplicates([id_col, text_col]))
