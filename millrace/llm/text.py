@@ -16,7 +16,7 @@ WORD_BYTES = bytes(
 )
 
 #: Texts go through a task in pieces of so many rows, whatever the size of Spark's batches.
-SLICE = 1000
+SLICE = 250
 
 
 def words(text: bytes) -> list[bytes]:
@@ -36,6 +36,20 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, SLICE)
 
 
+#: Rows and bytes of text that go to Python at once: texts may be long, and every task holds a batch or two.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, its session set to send no more than ``BATCH`` to Python at once. Smaller settings stay."""
+    conf = df.sparkSession.conf
+    for key, most in BATCH.items():
+        now = str(conf.get(key)).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def in_batches(
     df: DataFrame, schema: str, function: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
 ) -> DataFrame:
@@ -46,12 +60,12 @@ def in_batches(
         for batch in slices(batches):
             yield step(batch)
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns that are read, under names of our own: others never clash."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return bounded(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
