@@ -173,10 +173,12 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None) -
 
     # Toxic texts among the unlabelled hold the most telling features as often as the confirmed
     # ones do, and others may hold them too: that bounds the prior from above.
-    sparse = in_batches(rows, "positive boolean, unlabelled boolean, places array<int>", start).toArrow().to_pydict()
-    found = [np.array(p, dtype=np.int64) for p in sparse["places"]]
-    positive = [f for f, p in zip(found, sparse["positive"]) if p]
-    unlabelled = [f for f, q in zip(found, sparse["unlabelled"]) if q]
+    sparse = in_batches(rows, "positive boolean, unlabelled boolean, places array<int>", start).toArrow()
+    held = sparse.column("places").combine_chunks()  # as arrays: the driver makes no object for a place
+    ends, values = held.offsets.to_numpy(), held.values.to_numpy().astype(np.int64)
+    found = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    positive, unlabelled = (
+        [found[i] for i in np.flatnonzero(sparse.column(part).to_numpy(zero_copy_only=False))] for part in ("positive", "unlabelled"))
     told, there = (np.mean([np.any(f < MOST_TELLING) for f in part]) for part in (positive, unlabelled))
     if told:
         prior = min(prior, max(1 / (u + 1), there / told))
