@@ -156,3 +156,23 @@ def test_the_bucket_for_a_recall(spark):
         assert abs(met / 400 - recall) < 0.05
     with pytest.raises(ValueError, match="recall"):
         similarity.bucket_for(1.0, 2, 2, 1.0)
+
+
+def test_vectors_without_a_distance_are_in_no_pair(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.0, 0.0]), (2, [0.1, 0.0]), (3, [nan, 0.0]), (4, [inf, 0.0]), (5, [None, 0.0]), (6, None), (7, [0.1, 0.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = similarity.distance_join(df, "id", "v", 1.0).collect()
+    assert [(r.id_a, r.id_b, r.copies_a, r.copies_b) for r in out] == [(1, 2, 1, 2)]
+
+
+def test_a_pair_that_shares_many_buckets_is_given_once_and_candidates_are_no_rows(spark):
+    draw = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(draw.normal(size=(400, 8)))]
+    df = spark.createDataFrame(rows, "id long, v array<float>")
+    model = _model(spark, df, tables=5, length=50.0)
+    out = similarity.euclidean_join(model, df, "id", "v", 1.2, block=70)
+    assert "Aggregate" not in out._jdf.queryExecution().analyzed().toString()
+    true = {(r.id_a, r.id_b): r.distance for r in similarity.distance_join(df, "id", "v", 1.2).collect()}
+    got = out.collect()
+    assert len(got) == len(true) and {(r.id_a, r.id_b): r.distance for r in got} == true
