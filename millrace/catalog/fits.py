@@ -329,8 +329,10 @@ def power_iteration_communities(spark, sf):
     suppliers = table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
     nations = table(spark, sf, "nation", ["n_nationkey", "n_regionkey"])
     block = F.when(F.col("n_regionkey") <= 1, 0).otherwise(1)
-    home = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("src"), (-1 - F.col("n_nationkey")).alias("dst"), F.lit(1.0).alias("weight"))
+    # a nation's suppliers share a tie of one: however many they are, a walk leaves the nation for its block as soon
+    crowd = suppliers.groupBy("s_nationkey").agg(F.count("*").alias("crowd"))
+    home = suppliers.join(crowd, "s_nationkey").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("src"), (-1 - F.col("n_nationkey")).alias("dst"), (1.0 / F.col("crowd")).alias("weight"))
     n = nations.select((-1 - F.col("n_nationkey")).alias("id"), block.alias("block"))
     other = n.toDF("dst", "other")
     trade = n.withColumnRenamed("id", "src").join(other, F.col("src") < F.col("dst")).select(

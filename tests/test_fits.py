@@ -2,6 +2,7 @@
 
 import pytest
 
+from millrace.catalog import QUERIES
 from millrace.functions.tables import attribute, learned_model
 from millrace.functions.vectors import array_to_vector
 from millrace.operators import clustering, feature, regression
@@ -9,6 +10,8 @@ from millrace.plans.verbs import pipeline
 from millrace.session import scratch_path
 from millrace.streaming import score_folder
 
+TABLES = "/root/testdata/sf0.001"
+
 
 def test_a_folder_is_scored_once_and_taken_up_again(spark, points):
     source, to, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
@@ -49,3 +52,21 @@ def test_the_local_form_of_a_topic_model(spark, texts):
     assert attribute(model, "training_log_likelihood").first()[0] < 0
     with pytest.raises(TypeError, match="no model"):
         learned_model(model, "vocab_size")
+
+
+def test_blocks_of_many_suppliers_stay_communities(spark, tmp_path):
+    """Sixty times the suppliers: a nation's own do not hold a walk back from its block."""
+    for table in ("supplier", "nation"):
+        spark.read.parquet(f"{TABLES}/{table}.parquet").createOrReplaceTempView(table)
+    spark.sql("SELECT s.* EXCEPT (s_suppkey), s_suppkey + 1000 * r.id AS s_suppkey FROM supplier s CROSS JOIN range(600) r").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.table("nation").write.parquet(f"{tmp_path}/nation.parquet")
+    row = QUERIES["power_iteration_communities"](spark, str(tmp_path)).first()
+    assert row.recovered and row.clusters == 2 and row.vertices == 600 * spark.table("supplier").count() + 25
+
+
+@pytest.mark.parametrize("files", [1, 3, 11])
+def test_a_mixture_does_not_depend_on_how_the_table_is_cut(spark, tmp_path, files):
+    lines = spark.read.parquet(f"{TABLES}/lineitem.parquet").select("l_returnflag", "l_quantity")
+    lines.repartition(files).write.parquet(f"{tmp_path}/lineitem.parquet")
+    row = QUERIES["gaussian_mixture_apart"](spark, str(tmp_path)).first()
+    assert (row.n, row.components, row.confident, row.weights_whole) == (lines.count(), 3, True, True)
