@@ -70,3 +70,14 @@ def test_a_mixture_does_not_depend_on_how_the_table_is_cut(spark, tmp_path, file
     lines.repartition(files).write.parquet(f"{tmp_path}/lineitem.parquet")
     row = QUERIES["gaussian_mixture_apart"](spark, str(tmp_path)).first()
     assert (row.n, row.components, row.confident, row.weights_whole) == (lines.count(), 3, True, True)
+
+
+@pytest.mark.parametrize("name", ["lda", "lda_shares", "lda_fit_quality"])
+def test_topic_fits_read_a_table_of_counts(spark, name, monkeypatch):
+    """Not the texts, which they would cut anew at every step."""
+    from pyspark.ml.clustering import LDA
+
+    plans, fit = [], LDA.fit
+    monkeypatch.setattr(LDA, "fit", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or fit(self, df))
+    QUERIES[name](spark, TABLES)
+    assert len(plans) == 1 and "text" not in plans[0] and "RDD" in plans[0]
