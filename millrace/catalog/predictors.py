@@ -501,14 +501,27 @@ def generalized_linear_regression_coefficients(spark, sf):
     return out.select("feature", rounded("coefficient", 4).alias("coefficient"), rounded("std_error").alias("std_error"))
 
 
+def poisson_summary(spark, sf, tol):
+    """What a poisson fit of the number of words, saturated in the language, says of every document.
+
+    Texts are cut once and the fit goes over equal rows pooled with their number, not over all texts at every step.
+    """
+    checkpoint_root(spark)
+    sizes = text_sizes(spark, sf).select("lang", "n_words").checkpoint()
+    pooled = _lang_dummies(sizes.groupBy("lang", "n_words").agg(F.count("*").cast("double").alias("weight")))
+    op = regression.generalized_linear_regression(
+        label_col="n_words", weight_col="weight", family="poisson", max_iter=100, tol=tol)
+    model = op.fit(assemble(pooled, LANGS, keep=["n_words", "weight"]).persist())
+    every = _lang_dummies(sizes.withColumn("weight", F.lit(1.0)))
+    return evaluate_model(model, assemble(every, LANGS, keep=["n_words", "weight"]))
+
+
 @query(f"""
 WITH d AS ({TEXT_SIZES_SQL}), m AS (SELECT lang, avg(n_words) AS m FROM d GROUP BY lang)
 SELECT round((n_words - m) / sqrt(m), 4) + 0.0 AS residual FROM d JOIN m USING (lang)""")
 def generalized_linear_regression_residuals(spark, sf):
     """Pearson residuals of a poisson fit."""
-    df = _lang_dummies(text_sizes(spark, sf))
-    op = regression.generalized_linear_regression(label_col="n_words", family="poisson", max_iter=100, tol=1e-10)
-    s = summary(op.fit(assemble(df, LANGS, keep=["n_words"])))
+    s = poisson_summary(spark, sf, 1e-10)
     residuals = attribute(s, "residuals", "pearson")
     return residuals.select(rounded(F.col(residuals.columns[0]), 4).alias("residual"))
 

@@ -13,8 +13,8 @@ from ..operators import classification, clustering, evaluation, regression
 from ..plans.tuning import param_grid, train_validation_split
 from ..plans.verbs import evaluate_model, summary
 from ..sources import table
-from .inputs import TEXT_SIZES_SQL, embedded, text_sizes
-from .predictors import LANGS, LINE_SQL, _lang_dummies, _lifetimes, _sized
+from .inputs import TEXT_SIZES_SQL, embedded
+from .predictors import LINE_SQL, _lifetimes, _sized, poisson_summary
 from .registry import query, rounded
 
 SEED = 42
@@ -28,9 +28,7 @@ SELECT round(%s, 4) + 0.0 AS residual FROM d JOIN m USING (lang)"""
 
 def _residual_query(kind: str, sql: str) -> None:
     def run(spark, sf):
-        df = _lang_dummies(text_sizes(spark, sf))
-        op = regression.generalized_linear_regression(label_col="n_words", family="poisson", max_iter=100, tol=1e-12)
-        residuals = attribute(summary(op.fit(assemble(df, LANGS, keep=["n_words"]))), "residuals", kind)
+        residuals = attribute(poisson_summary(spark, sf, 1e-12), "residuals", kind)
         return residuals.select(rounded(F.col(residuals.columns[0]), 4).alias("residual"))
 
     run.__doc__ = f"The {kind} residuals of a poisson fit, saturated in the language, of all documents."

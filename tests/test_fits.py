@@ -81,3 +81,14 @@ def test_topic_fits_read_a_table_of_counts(spark, name, monkeypatch):
     monkeypatch.setattr(LDA, "fit", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or fit(self, df))
     QUERIES[name](spark, TABLES)
     assert len(plans) == 1 and "text" not in plans[0] and "RDD" in plans[0]
+
+
+@pytest.mark.parametrize("kind", ["", "_deviance", "_response", "_working"])
+def test_a_poisson_fit_goes_over_pooled_rows(spark, kind, monkeypatch):
+    from pyspark.ml.regression import GeneralizedLinearRegression as Glm
+
+    sizes, fit = [], Glm.fit
+    monkeypatch.setattr(Glm, "fit", lambda self, df: sizes.append((df.count(), df.agg({"weight": "sum"}).first()[0])) or fit(self, df))
+    documents = spark.read.parquet(f"{TABLES}/documents.parquet").count()
+    assert QUERIES[f"generalized_linear_regression_residuals{kind}"](spark, TABLES).count() == documents
+    assert sizes[0][0] < documents and sizes[0][1] == documents
