@@ -176,3 +176,19 @@ def test_a_pair_that_shares_many_buckets_is_given_once_and_candidates_are_no_row
     true = {(r.id_a, r.id_b): r.distance for r in similarity.distance_join(df, "id", "v", 1.2).collect()}
     got = out.collect()
     assert len(got) == len(true) and {(r.id_a, r.id_b): r.distance for r in got} == true
+
+
+def test_min_hash_join_finds_what_the_models_join_finds(spark, sets):
+    some = sets.where("size(words) > 0")
+    counter = feature.count_vectorizer(input_col="words", output_col="s", binary=True, min_df=1.0).fit(some)
+    counted = counter.transform(some).persist()
+    model = feature.min_hash_lsh(input_col="s", output_col="h", num_hash_tables=3, seed=2).fit(counted)
+    stands = {r.id: r.stands_for for r in similarity.members(some, "id", similarity.F.array_sort(similarity.F.array_distinct("words"))).collect()}
+    theirs = {}
+    for r in similarity.similarity_join(model, counted, counted, 0.4).selectExpr("datasetA.id AS a", "datasetB.id AS b", "distCol AS d").collect():
+        a, b = sorted((stands[r.a], stands[r.b]))
+        if a != b:
+            theirs[a, b] = pytest.approx(r.d)
+    out = similarity.min_hash_join(model, counted, "id", "words", 0.4)
+    got = {(r.id_a, r.id_b): r.distance for r in out.collect()}
+    assert got == theirs and len(got) > 0
