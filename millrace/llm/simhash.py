@@ -7,8 +7,10 @@ fingerprint emits 65 variants (itself and one bit flipped), and no more than 65
 fingerprints can ever meet on one variant, however many copies the corpus has: copies are
 folded into their fingerprint first.
 
-``keep_one`` does not rest on fingerprints. It joins all texts that share at least ``SIMILAR``
-of their distinct five-word shingles, by the prefix filter of set joins, which loses none:
+``keep_one`` groups all texts that share at least ``SIMILAR`` of their distinct five-word shingles.
+Fingerprints go first: sets of shingles with one fingerprint, or with two that are linked, are compared,
+and those alike are one group from there on. A fingerprint misses near copies (blocks appended or cut
+off), so texts that are still in two groups are joined by the prefix filter of set joins, which loses none:
 if the shingles of every text stand in one common order, two such texts share one of the
 first ``n - ceil(SIMILAR * n) + 1`` of either. Rare ones come first, by a sketch of counts, so
 that few texts meet that are not alike. Of a pair the smaller text must share one of its first
@@ -133,17 +135,18 @@ def set_hash(own: np.ndarray) -> int:
 
 
 def shingled(texts: DataFrame) -> DataFrame:
-    """``(doc_id, hash, node, block, counts)``: a row per row of ``texts(doc_id, hash, text)`` with its
-    set of shingles as ``node``, and rows of a task's counts of shingles by slot, block by block."""
-    schema = "doc_id long, hash long, node long, block int, counts binary"
+    """``(doc_id, hash, node, block, counts, fp)``: a row per row of ``texts(doc_id, hash, text)`` with its
+    set of shingles as ``node`` and its fingerprint, and rows of a task's counts of shingles by slot, block by block."""
+    schema = "doc_id long, hash long, node long, block int, counts binary, fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(SLOTS, dtype=np.int32), set()
         for batch in slices(batches):
-            nodes = []
+            nodes, prints = [], []
             for text in bytes_of(batch.column(2)):
                 own = shingles(text)
                 nodes.append(set_hash(own))
+                prints.append(fingerprint(text))
                 if nodes[-1] not in seen:
                     if len(seen) >= 100_000:
                         seen.clear()
@@ -151,11 +154,12 @@ def shingled(texts: DataFrame) -> DataFrame:
                     np.add.at(total, own & (SLOTS - 1), 1)
             count = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(nodes, pa.int64()), pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary())], _names(schema))
+                [*batch.columns[:2], pa.array(nodes, pa.int64()), pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary()),
+                 pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], _names(schema))
         blocks = [(i, b) for i, b in enumerate(total.reshape(-1, BLOCK_SLOTS)) if b.any()]
         none = pa.nulls(len(blocks), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array([i for i, _ in blocks], pa.int32()), pa.array([b.tobytes() for _, b in blocks], pa.binary())], _names(schema))
+            [none, none, none, pa.array([i for i, _ in blocks], pa.int32()), pa.array([b.tobytes() for _, b in blocks], pa.binary()), none], _names(schema))
 
     return texts.mapInArrow(run, schema)
 
@@ -315,25 +319,40 @@ def _alike(pairs: DataFrame, texts: DataFrame, firsts: DataFrame) -> DataFrame:
     return sets.sortWithinPartitions("b", "part", "other").mapInArrow(compared, "a long, b long").distinct()
 
 
+def print_pairs(prints: DataFrame) -> DataFrame:
+    """``(a, b)``: pairs of sets of ``prints(node, fp)`` to be compared, since their fingerprints are equal or linked.
+
+    The smallest set of a fingerprint stands for it: the others are paired with it, and it with those of linked ones.
+    """
+    heads = prints.groupBy("fp").agg(F.min("node").alias("head")).checkpoint()
+    same = prints.join(heads, "fp").where("node <> head").select("node", "head")
+    links = near_links(heads.select("fp"))
+    linked = links.join(heads.toDF("a", "node"), "a").join(heads.toDF("b", "head"), "b").select("node", "head")
+    every = same.unionByName(linked)
+    return every.select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b")).distinct()
+
+
 def near_copies(texts: DataFrame, firsts: DataFrame, levels: np.ndarray) -> DataFrame:
     """``(node, root)`` for every text with a near copy: equal roots, joined by pairs of near copies.
 
     Every pair of ``texts(doc_id, text)`` that shares ``SIMILAR`` of its shingles is in one
-    component, and every component is held together by such pairs. ``firsts(node, first)``
-    names a document for each set of shingles.
+    component, and every component is held together by such pairs. ``firsts(node, first, fp)``
+    names a document and its fingerprint for each set of shingles.
     """
+    links = _alike(print_pairs(firsts.select("node", "fp")).checkpoint(), texts, firsts).checkpoint()
+    roots = components(links)
     rows = written(prefixes(texts, levels), "prefixes")
     buckets = written(meetings(rows), "meetings")
-    apart = buckets.withColumn("root", F.col("node"))
-    links, turn, left, size = None, 0, None, buckets.count()
-    while left is None or left > LEFT * size:  # only saves pairs: whatever the stars leave is compared below
-        found = _alike(_stars(apart, turn).checkpoint(), texts, firsts).checkpoint()
-        links = found if links is None else links.unionByName(found).checkpoint()
+    turn, size = 0, buckets.count()
+    apart = _apart(buckets, roots)
+    left = _left(apart)
+    while left > LEFT * size:  # only saves pairs: whatever the stars leave is compared below
+        links = links.unionByName(_alike(_stars(apart, turn).checkpoint(), texts, firsts)).checkpoint()
         roots = components(links)
         apart = _apart(buckets, roots)
         before, left = left, _left(apart)
         turn += 1
-        if before is not None and left > before / 2:
+        if left > before / 2:
             break
     if left:
         links = links.unionByName(_alike(_pairs(apart).checkpoint(), texts, firsts))
@@ -386,7 +405,8 @@ def simhash_groups(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id.
 
-    Groups are held together by pairs of texts that share ``SIMILAR`` of their distinct
+    Texts are linked by their fingerprints and, where those differ too much, by early shingles; every
+    link is verified. Groups are held together by pairs of texts that share ``SIMILAR`` of their distinct
     five-word shingles, and no such pair is in two groups; wordless texts are one group. All
     columns are kept as they are. Of rows with the smallest id of a group one stays; rows that
     share an id but not their text are told apart. Rows with a null id have nothing to be
@@ -397,9 +417,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     named = docs.where(F.col(id_col).isNotNull())
     texts = id_and_text(named, id_col, text_col).select("doc_id", text_hash(F.col("text")).alias("hash"), "text")
     marked = written(shingled(texts), "shingled")
-    nodes = marked.where("block IS NULL").select("doc_id", "hash", "node")
-    firsts = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("row")).checkpoint()
-    roots = near_copies(texts, firsts.select("node", F.col("row.doc_id").alias("first")), sketch(marked))
+    nodes = marked.where("block IS NULL").select("doc_id", "hash", "node", "fp")
+    firsts = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "hash", "fp")).alias("row")).checkpoint()
+    roots = near_copies(texts, firsts.select("node", F.col("row.doc_id").alias("first"), F.col("row.fp").alias("fp")), sketch(marked))
     best = firsts.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row"))
     rows = nodes.groupBy("doc_id", "hash").agg(F.count("*").alias("rows"))
     kept = best.select("row.doc_id", "row.hash", F.lit(True).alias("kept"))

@@ -2,6 +2,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import simhash
 from millrace.llm.components import components
@@ -182,3 +183,24 @@ def test_texts_of_one_id_are_told_apart(spark, docs):
     rows = [(1, texts[0]), (1, texts[1]), (2, texts[1]), (3, texts[2]), (3, texts[2])]
     kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs(rows)).collect())
     assert kept == sorted([(1, texts[0]), (1, texts[1]), (3, texts[2])])
+
+
+def test_fingerprints_link_before_shingles_do(spark, docs, monkeypatch):
+    """Copies whose fingerprints are linked need no shingle in common bucket; far ones and unlike ones do not pass."""
+    draw, rows = random.Random(12), []
+    for n in range(12):
+        text = body(draw, 400)
+        edited = [*text[:200], "changed", *text[201:]]
+        rows += [(3 * n, " ".join(text)), (3 * n + 1, " ".join(edited)), (3 * n + 2, " ".join(text).upper())]
+    texts = docs(rows).select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    marked = simhash.shingled(texts).where("block IS NULL").checkpoint()
+    prints = {r.doc_id: r.fp for r in marked.collect()}
+    near = [n for n in range(12) if ((prints[3 * n] ^ prints[3 * n + 1]) % (1 << 64)).bit_count() <= 2]
+    assert near
+    compared = []
+    pairs = simhash.print_pairs
+    monkeypatch.setattr(simhash, "print_pairs", lambda p: compared.append(pairs(p).checkpoint()) or compared[-1])
+    assert kept_ids(docs(rows)) == plain_kept(rows)
+    nodes = {r.doc_id: r.node for r in marked.collect()}
+    met = {(r.a, r.b) for r in compared[0].collect()}
+    assert all(tuple(sorted((nodes[3 * n], nodes[3 * n + 1]), reverse=True)) in met for n in near)
