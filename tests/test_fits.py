@@ -92,3 +92,24 @@ def test_a_poisson_fit_goes_over_pooled_rows(spark, kind, monkeypatch):
     documents = spark.read.parquet(f"{TABLES}/documents.parquet").count()
     assert QUERIES[f"generalized_linear_regression_residuals{kind}"](spark, TABLES).count() == documents
     assert sizes[0][0] < documents and sizes[0][1] == documents
+
+
+@pytest.mark.parametrize("name", ["robust_scaler_prices", "imputer_median_prices"])
+def test_exact_quartiles_are_not_sketched_from_all_rows(spark, name, monkeypatch):
+    from pyspark.ml.feature import Imputer, RobustScaler
+
+    seen = []
+    for kind in (Imputer, RobustScaler):
+        monkeypatch.setattr(kind, "fit", lambda self, df, fit=kind.fit: seen.append(df.count()) or fit(self, df))
+    assert len(QUERIES[name](spark, TABLES).collect()) == 1
+    assert seen[0] <= 3
+
+
+def test_exact_quantiles(spark):
+    from millrace.plans.ordered import exact_quantiles
+
+    values = [5.0, 1.0, 1.0, 1.0, 9.0, None, float("nan"), 2.0, 7.0, 3.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r.probability: r.value for r in exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.75, 1.0]).collect()}
+    assert got == {0.0: 1.0, 0.25: 1.0, 0.5: 2.0, 0.75: 5.0, 1.0: 9.0}
+    assert [r.value for r in exact_quantiles(df.where("v < 0"), "v", [0.5]).collect()] == [None]
