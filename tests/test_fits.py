@@ -113,3 +113,16 @@ def test_exact_quantiles(spark):
     got = {r.probability: r.value for r in exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.75, 1.0]).collect()}
     assert got == {0.0: 1.0, 0.25: 1.0, 0.5: 2.0, 0.75: 5.0, 1.0: 9.0}
     assert [r.value for r in exact_quantiles(df.where("v < 0"), "v", [0.5]).collect()] == [None]
+
+
+@pytest.mark.parametrize("name", ["power_iteration_clustering", "power_iteration_coverage", "rule_predictions"])
+def test_what_is_read_more_than_once_is_joined_and_grouped_once(spark, name, monkeypatch):
+    from pyspark.ml.clustering import PowerIterationClustering
+    from pyspark.ml.fpm import FPGrowth
+
+    plans = []
+    for kind, step in ((PowerIterationClustering, "assignClusters"), (FPGrowth, "fit")):
+        monkeypatch.setattr(kind, step, lambda self, df, run=getattr(kind, step): plans.append(
+            df._jdf.queryExecution().optimizedPlan().toString()) or run(self, df))
+    QUERIES[name](spark, TABLES)
+    assert len(plans) == 1 and "Aggregate" not in plans[0] and "RDD" in plans[0]
