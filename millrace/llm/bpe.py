@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .text import id_and_text, in_batches
+from .text import id_and_text, in_batches, keeps
 
 #: How the vocabulary's file splits normalised text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -42,8 +42,9 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 FOREIGN = regex.compile(r"[^\x00-\u024f\u2010-\u2027\u20ac]")
 END = "</w>"
 
-#: A task keeps the encodings of so many pieces; beyond it begins anew. A bound on memory only.
-CACHED = 700_000
+#: A worker keeps the encodings of so many pieces, those used last, and so many pairs of tokens; a slice of
+#: texts with more new pieces is kept while it lasts. A bound on memory only.
+CACHED = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -168,6 +169,8 @@ class Coder:
         self.vocabulary = Vocabulary(path)
         #: piece -> its ids in decimal and its tokens, both space-joined
         self.memo: dict[str, tuple[str, str]] = {}
+        #: what the memo held before it was full: pieces met again go back into the memo
+        self.older: dict[str, tuple[str, str]] = {}
         self.letters = str.maketrans({b: c for b, c in enumerate(byte_letters())})
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
@@ -199,9 +202,12 @@ class Coder:
         A word is a piece too, so a word with a mark behind it uses what is known of the word.
         """
         new = pieces.difference(self.memo)
-        if len(self.memo) + len(new) > CACHED:
-            self.memo.clear()
+        if len(self.memo) + len(new) > CACHED // 2:
+            self.older, self.memo = self.memo, {}
             new = pieces
+        again = [p for p in new if p in self.older]
+        self.memo.update((p, self.older[p]) for p in again)
+        new = new.difference(again)
         special, letters = self.vocabulary.special, self.letters
         split: dict[str, list[str]] = {}
         unknown: dict[str, str] = {}  # a new word in byte letters -> the word
@@ -215,7 +221,9 @@ class Coder:
                 continue
             words = split[piece] = WORD.findall(piece)
             for word in words:
-                if word not in self.memo:
+                if word not in self.memo and word in self.older:
+                    self.memo[word] = self.older[word]
+                elif word not in self.memo:
                     plain = word.isascii() and word.isprintable()
                     unknown[word if plain else word.encode().decode("latin-1").translate(letters)] = word
         found = encode_words(unknown.keys() | {w for words in foreign.values() for w in words}, self.vocabulary)
@@ -230,6 +238,11 @@ class Coder:
         for piece, words in foreign.items():
             self.memo[piece] = _joined([written[w] for w in words])
 
+    def forget(self) -> None:
+        """Give back what was learned from texts; the vocabulary stays."""
+        for known in (self.memo, self.older, self.vocabulary.pairs):
+            known.clear()
+
     def encode(self, texts: list[str]) -> list[tuple[str, str]]:
         """(ids in decimal, decoded text) of each text. The vocabulary's file names no
         decoder, so decoding an id gives its token and tokens are joined by spaces."""
@@ -267,6 +280,7 @@ def coder(path: str) -> Coder:
 def _run(path: str, row: Callable[[str, str], tuple], names: list[str], types: list[pa.DataType]):
     def start():
         encoder = coder(path)
+        keeps(encoder.forget)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]

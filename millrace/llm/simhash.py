@@ -53,6 +53,8 @@ PART = 256
 HELD = 4096
 #: Stars are drawn anew while more pairs than so many times the rows of the buckets are left.
 LEFT = 4
+#: Bytes of sets that a task gives on at once: a set goes to each of its partners, however many they are.
+SENT = 4 << 20
 #: So many ids are broadcast to find texts (some 30 MB as a hash relation); more are joined by shuffle.
 BROADCAST = 500_000
 
@@ -292,11 +294,13 @@ def _alike(pairs: DataFrame, texts: DataFrame, firsts: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 node, own = batch.column(0)[i].as_py(), shingles(bytes_of(batch.column(2).slice(i, 1))[0])
                 if set_hash(own) == node:  # a repeated id may have other texts than the one that is meant
-                    to = batch.column(1)[i].as_py()
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([t["b"] for t in to], pa.int64()), pa.array([t["part"] for t in to], pa.int32()),
-                        pa.array([t["b"] != node for t in to]), pa.array([node] * len(to), pa.int64()),
-                        pa.array([own.tobytes()] * len(to), pa.binary())], _names(schema))
+                    every, each = batch.column(1)[i].as_py(), max(1, SENT // max(1, own.nbytes))
+                    for start in range(0, len(every), each):
+                        to = every[start:start + each]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([t["b"] for t in to], pa.int64()), pa.array([t["part"] for t in to], pa.int32()),
+                            pa.array([t["b"] != node for t in to]), pa.array([node] * len(to), pa.int64()),
+                            pa.array([own.tobytes()] * len(to), pa.binary())], _names(schema))
 
     schema = "b long, part int, other boolean, node long, set binary"
 

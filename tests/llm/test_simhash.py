@@ -204,3 +204,11 @@ def test_fingerprints_link_before_shingles_do(spark, docs, monkeypatch):
     nodes = {r.doc_id: r.node for r in marked.collect()}
     met = {(r.a, r.b) for r in compared[0].collect()}
     assert all(tuple(sorted((nodes[3 * n], nodes[3 * n + 1]), reverse=True)) in met for n in near)
+
+
+def test_a_set_goes_to_many_partners_in_bounded_batches(spark, docs, monkeypatch):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words + [f"x{i}"])) for i in range(60)] + [(100 + i, f"other text of its own {i} " * 3) for i in range(5)]
+    whole = sorted(r.doc_id for r in simhash.keep_one(docs(rows)).collect())
+    monkeypatch.setattr(simhash, "SENT", 700)  # two sets at a time
+    assert sorted(r.doc_id for r in simhash.keep_one(docs(rows)).collect()) == whole and 0 in whole

@@ -232,3 +232,29 @@ def test_a_long_passage_of_a_longer_item(spark, docs):
     rows = [(1, "a b " + " ".join(item[200:500]) + " c"), (2, "d " + " ".join(short[:29]) + " e f"), (3, "g " + " ".join(item[:10]) + " h")]
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(rows), items).collect()} == {(1, 1), (2, 2)}
     assert [r.doc_id for r in decontaminate.keep_clean(docs(rows), items).collect()] == [3]
+
+
+def test_encodings_are_kept_within_their_bound_and_given_back(spark, docs, monkeypatch):
+    import pyarrow as pa
+
+    from millrace.llm.text import id_and_text, in_batches
+
+    whole = bpe.Coder(WORD_FILE).encode(odd_texts(400, 3))
+    monkeypatch.setattr(bpe, "CACHED", 60)
+    small, got = bpe.Coder(WORD_FILE), []
+    for text in odd_texts(400, 3):
+        got += small.encode([text])
+        assert len(small.memo) + len(small.older) <= 60 + 2 * 40  # a text has no more than 40 pieces and their words
+    assert got == whole
+    # a worker that goes on to another operator holds nothing of the texts
+    table = docs([(i, f"word{i} and others{i}") for i in range(300)])
+    assert bpe.digests(table, WORD_FILE).count() == 300
+    bpe.digests(table, WORD_FILE).collect()
+
+    def start():
+        def step(batch):
+            return pa.RecordBatch.from_arrays([pa.array([len(bpe.coder(WORD_FILE).memo)] * batch.num_rows, pa.int64())], ["held"])
+        return step
+
+    held = in_batches(id_and_text(table, "doc_id", "text"), "held long", start).collect()
+    assert len(held) == 300 and {r.held for r in held} == {0}
