@@ -17,6 +17,7 @@ from ..plans.verbs import assign_clusters, pipeline
 from ..session import checkpoint_root, scratch_path
 from ..sources import table
 from ..streaming import score_folder
+from .clusters import em_counts
 from .inputs import KEYS, WORDS_SQL, rated, text_sizes, words
 from .registry import query, rounded
 
@@ -265,10 +266,7 @@ def lda_em_state(spark, sf):
     The expected counts of all topics sum to the words of the corpus, each topic's weights to one, and the
     local model says of the same documents what the distributed one does.
     """
-    checkpoint_root(spark)
-    df = words(spark, sf)
-    counter = feature.count_vectorizer(input_col="words", output_col="features", min_df=20.0, vocab_size=2**31 - 1).fit(df)
-    counted = counter.transform(df).select("features").checkpoint()
+    counter, counted = em_counts(spark, sf)
     model = clustering.lda(k=4, max_iter=5, optimizer="em", checkpoint_interval=2, seed=SEED).fit(counted)
     local = learned_model(model, "to_local")
     own, there = (attribute(m, "log_likelihood", counted).first()[0] for m in (model, local))

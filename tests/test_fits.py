@@ -83,6 +83,21 @@ def test_topic_fits_read_a_table_of_counts(spark, name, monkeypatch):
     assert len(plans) == 1 and "text" not in plans[0] and "RDD" in plans[0]
 
 
+@pytest.mark.parametrize("name", ["lda_em_state", "lda_topics"])
+def test_a_topic_graph_is_cut_by_its_edges(spark, name, monkeypatch):
+    """Not by the table's files: a task builds a bounded number of edges, and all documents are there."""
+    from millrace.catalog import clusters
+    from pyspark.ml.clustering import LDA
+
+    monkeypatch.setattr(clusters, "EDGES", 1000)
+    seen, fit = [], LDA.fit
+    most = lambda df: df.rdd.map(lambda r: r.features.numNonzeros()).glom().map(lambda n: (len(n), sum(n))).collect()
+    monkeypatch.setattr(LDA, "fit", lambda self, df: seen.append(most(df)) or fit(self, df))
+    QUERIES[name](spark, TABLES)
+    assert sum(n for n, _ in seen[0]) == spark.read.parquet(f"{TABLES}/documents.parquet").count()
+    assert len(seen[0]) >= sum(edges for _, edges in seen[0]) / 1000
+
+
 @pytest.mark.parametrize("kind", ["", "_deviance", "_response", "_working"])
 def test_a_poisson_fit_goes_over_pooled_rows(spark, kind, monkeypatch):
     from pyspark.ml.regression import GeneralizedLinearRegression as Glm
