@@ -4,7 +4,8 @@ Every round each node takes the smallest of itself and its neighbours as its par
 order that is drawn anew each round (a hash), and the links are redrawn between parents.
 Paths between nodes survive that, and a constant share of the nodes is expected to go in a
 round, so a chain of n nodes takes about log n rounds and not n. Nothing is collected:
-the driver only asks whether any link is left.
+the driver only asks how many links are left. While they are few, what a round joins with is
+broadcast: the driver keeps a thread for each shuffle of the last minute, and rounds are many.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
+#: So many parents are broadcast in a round (two longs each); more are joined by shuffle.
+PARENTS = 200_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)``: equal roots, one component.
@@ -25,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
     links = _redrawn(links.select("a", "b")).checkpoint()
     label = links.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
     turn = 0
-    while not links.isEmpty():
+    while count := links.count():
         both = links.union(links.select("b", "a"))
         best = F.min(F.struct(F.xxhash64("b", F.lit(turn)).alias("h"), F.col("b").alias("p")))
         own = F.xxhash64("a", F.lit(turn))
@@ -34,14 +38,15 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("a").alias("node"), F.when(F.col("m.h") < own, F.col("m.p")).otherwise(F.col("a")).alias("p"))
             .checkpoint()
         )
-        left, right = parent.toDF("a", "pa"), parent.toDF("b", "pb")
+        given = F.broadcast(parent) if 2 * count <= PARENTS else parent  # a link has two ends
+        left, right = given.toDF("a", "pa"), given.toDF("b", "pb")
         links = _redrawn(
             links.join(left, "a").join(right, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
         ).checkpoint()
         if turn == 0:
             label = parent.toDF("node", "root")
         else:
-            moved = parent.toDF("root", "p")
+            moved = given.toDF("root", "p")
             label = label.join(moved, "root", "left").select("node", F.coalesce("p", "root").alias("root")).checkpoint()
         turn += 1
     return label

@@ -89,6 +89,21 @@ def test_components(spark, links):
     assert all((roots[a] == roots[b]) == (b in group[a]) for a in group for b in group)
 
 
+def test_few_links_are_contracted_without_shuffling_parents(spark, monkeypatch):
+    """Same components from fewer jobs: the driver keeps a thread for every shuffle of the last minute."""
+    from millrace.llm import components as module
+
+    links = spark.range(500).selectExpr("id as a", "id + 1 as b").where("a % 7 <> 3").checkpoint()
+    jobs, found = [], []
+    for most in (module.PARENTS, 0):
+        monkeypatch.setattr(module, "PARENTS", most)
+        start = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+        found.append(sorted(components(links).collect()))
+        jobs.append(spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - start)
+    assert found[0] == found[1] and len(found[0]) == 501 and jobs[0] < jobs[1]
+
+
+
 def test_keep_one(spark, docs):
     draw = random.Random(3)
     base = [draw.choice("abcdefghijklmnopqrstuvwxyz") * draw.randint(1, 4) + str(draw.randint(0, 9)) for _ in range(300)]
