@@ -5,7 +5,7 @@ order that is drawn anew each round (a hash), and the links are redrawn between
 Paths between nodes survive that, and a constant share of the nodes is expected to go in a
 round, so a chain of n nodes takes about log n rounds and not n. Nothing is collected:
 the driver only asks how many links are left. While they are few, what a round joins with is
-broadcast: the driver keeps a thread for each shuffle of the last minute, and rounds are many.
+broadcast, which takes fewer jobs, and rounds are many.
 """
 
 from __future__ import annotations

@@ -90,7 +90,7 @@ def test_components(spark, links):
 
 
 def test_few_links_are_contracted_without_shuffling_parents(spark, monkeypatch):
-    """Same components from fewer jobs: the driver keeps a thread for every shuffle of the last minute."""
+    """Same components from fewer jobs."""
     from millrace.llm import components as module
 
     links = spark.range(500).selectExpr("id as a", "id + 1 as b").where("a % 7 <> 3").checkpoint()
