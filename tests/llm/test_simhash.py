@@ -103,6 +103,25 @@ def test_few_links_are_contracted_without_shuffling_parents(spark, monkeypatch):
     assert found[0] == found[1] and len(found[0]) == 501 and jobs[0] < jobs[1]
 
 
+def test_few_links_take_few_jobs_however_many_rounds_they_need(spark):
+    """What the driver holds grows with jobs and broadcasts, so the last links are not contracted round by round."""
+    jobs = []
+    for n in (4, 4000):
+        links = spark.range(n).selectExpr("id as a", "id + 1 as b").checkpoint()
+        start = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+        assert {(r.node, r.root) for r in components(links).collect()} == {(i, 0) for i in range(n + 1)}
+        jobs.append(spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - start)
+    assert jobs[0] == jobs[1] <= 8
+
+
+def test_links_are_contracted_until_they_are_few(spark, monkeypatch):
+    from millrace.llm import components as module
+
+    monkeypatch.setattr(module, "PARENTS", 300)
+    links = spark.range(900).where("id % 9 <> 4").selectExpr("id as a", "id + 1 as b")
+    found = {r.node: r.root for r in components(links).collect()}
+    assert found == {i: next(s for s in range(i, -1, -1) if s == 0 or s % 9 == 5) for i in range(901)}
+
 
 def test_keep_one(spark, docs):
     draw = random.Random(3)
