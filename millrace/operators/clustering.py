@@ -2,10 +2,11 @@
 
 from pyspark.ml import clustering as ml
 
+from . import topics
 from .base import constructor
 
 bisecting_k_means = constructor(ml.BisectingKMeans)
 gaussian_mixture = constructor(ml.GaussianMixture)
 k_means = constructor(ml.KMeans)
-lda = constructor(ml.LDA)
+lda = constructor(topics.LDA)
 power_iteration_clustering = constructor(ml.PowerIterationClustering)
