@@ -99,6 +99,20 @@ def test_euclidean_join_finds_what_the_models_join_finds(spark, points):
     assert ours == theirs
 
 
+@pytest.mark.parametrize("length,cells", [(5.0, ["cell"]), (0.02, ["table", "h", "cell"])])
+def test_vectors_that_meet_in_many_tables_are_compared_once(spark, points, length, cells, monkeypatch):
+    """Wide buckets: each two once, not in every table. Narrow ones: by the tables. The same pairs either way."""
+    model, near, seen = _model(spark, points, length=length), similarity._near, []
+    monkeypatch.setattr(similarity, "_near", lambda placed, cell, *rest: seen.append(cell) or near(placed, cell, *rest))
+    f = points.withColumn("f", array_to_vector("v"))
+    met = similarity.similarity_join(model, f, f, 0.3).selectExpr("datasetA.id AS a", "datasetB.id AS b", "distCol AS d").collect()
+    stands = {r.id: r.stands_for for r in similarity.members(points, "id", "v").collect()}
+    theirs = {tuple(sorted((stands[r.a], stands[r.b]))): pytest.approx(r.d) for r in met if stands[r.a] != stands[r.b]}
+    out = similarity.euclidean_join(model, points, "id", "v", 0.3, block=40).collect()
+    assert {(r.id_a, r.id_b): r.distance for r in out} == theirs and len(out) == len(theirs) > 0
+    assert seen == [cells]
+
+
 @pytest.mark.parametrize("block", [2_000, 1, 5])
 @pytest.mark.parametrize("threshold", [0.05, 0.3, 2.5])
 def test_distance_join_is_exact(spark, points, block, threshold):
